@@ -55,8 +55,10 @@ def pagerank_step(
     large part of them.
     """
     salts = salts or shuffle_partitions(edges.sparkSession)
-    links = edges.withColumn("salt", salt_of("dst", salts)).repartition("src", "salt")
-    # Reading ``dst`` leaves no column to prune: this branch reuses the shuffle of the links.
+    # The null checks of both joins are made here, and ``dst`` is read in the sums, so
+    # that the two branches scan the same columns and rows and share one shuffle.
+    links = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    links = links.withColumn("salt", salt_of("dst", salts)).repartition("src", "salt")
     linked = F.sum(F.when(F.col("dst").isNotNull(), F.col("multiplicity")))
     per_salt = links.groupBy("src", "salt").agg(linked.alias("degree_of_salt"))
     degree = per_salt.select(

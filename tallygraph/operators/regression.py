@@ -1,19 +1,34 @@
 """Ordinary least squares from summed normal equations."""
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 INTERCEPT = "intercept"
 
-# Above this condition number of the scaled matrix the raw sums have lost too many
-# digits, and the sums are taken again around the column means.
+# Rows averaged for a first guess of the column means. The sums are taken around it
+# because sums of large like-signed products lose digits; the coefficients are those
+# of all rows whatever the guess.
+CENTRE_ROWS = 1_000
+
+# Above this condition number of the scaled matrix the guess was too far off, and the
+# sums are taken again around the true means.
 MAX_CONDITION = 1e10
 
 
+# Beyond this many terms the sums would be too many columns for whole-stage code
+# generation, and multiplying Arrow batches as matrices is several times faster.
+MAX_SUM_TERMS = 12
+
+# Cell numbers in the long form of the wide sums; the others are matrix positions.
+INCOMPLETE_CELL = -1
+
+
 class NormalEquations(NamedTuple):
     """``A beta = b`` over ``rows`` rows; ``terms`` names rows and columns of ``A``."""
 
@@ -23,11 +38,9 @@ class NormalEquations(NamedTuple):
     rows: int
 
 
-def _design(xs: Sequence[str], centres: dict[str, float] | None = None) -> dict[str, Column]:
-    """Term to expression: the constant 1, then the columns, shifted by ``centres``."""
-    shift = centres or {}
-    columns = {x: F.col(x).cast("double") - F.lit(shift[x]) if x in shift else F.col(x).cast("double") for x in xs}
-    return {INTERCEPT: F.lit(1.0), **columns}
+def _centred(name: str, centres: dict[str, float] | None) -> Column:
+    value = F.col(name).cast("double")
+    return value - F.lit(centres[name]) if centres else value
 
 
 def _cells(width: int) -> list[tuple[int, int]]:
@@ -40,10 +53,8 @@ def _sums(df: DataFrame, y: str, xs: Sequence[str], centres: dict[str, float] |
 
     One pass, summed inside every task first; only one row per task is shuffled.
     """
-    design = list(_design(xs, centres).values())
-    response = F.col(y).cast("double")
-    if centres and y in centres:
-        response = response - F.lit(centres[y])
+    design = [F.lit(1.0), *(_centred(x, centres) for x in xs)]
+    response = _centred(y, centres)
     incomplete = F.col(y).isNull()
     for x in xs:
         incomplete = incomplete | F.col(x).isNull()
@@ -59,22 +70,60 @@ def _check(y: str, xs: Sequence[str]) -> None:
         raise ValueError(f"{INTERCEPT!r} is the name of the constant term")
 
 
+def _gram_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of one partition as ``(cell, value)`` rows, over the constant 1 and all columns."""
+    gram, incomplete = 0.0, 0
+    for batch in batches:
+        columns = [column.to_numpy(zero_copy_only=False) for column in batch.columns]
+        rows = np.column_stack([np.ones(batch.num_rows), *columns])
+        gram = gram + rows.T @ rows
+        if any(column.null_count for column in batch.columns):
+            empty = batch.columns[0].is_null()
+            for column in batch.columns[1:]:
+                empty = pc.or_(empty, column.is_null())
+            incomplete += pc.sum(empty).as_py()
+    values = np.append(np.ravel(gram), float(incomplete)) if np.ndim(gram) else np.empty(0)
+    cells = np.append(np.arange(max(len(values) - 1, 0)), INCOMPLETE_CELL)[: len(values)]
+    yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(values, pa.float64())], ["cell", "value"])
+
+
+def _wide_sums(
+    df: DataFrame, y: str, xs: Sequence[str], centres: dict[str, float] | None
+) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """``A``, ``b``, the rows and the incomplete rows of a table with many features."""
+    columns = df.select(*(_centred(name, centres).alias(f"c{i}") for i, name in enumerate([*xs, y])))
+    cells = columns.mapInArrow(_gram_cells, "cell int, value double")
+    sums = dict(cells.groupBy("cell").agg(F.sum("value")).collect())
+    incomplete = int(sums.pop(INCOMPLETE_CELL, 0))
+    width = len(xs) + 2
+    gram = np.array([sums.get(cell, 0.0) for cell in range(width * width)]).reshape(width, width)
+    return gram[:-1, :-1], gram[:-1, -1], int(round(gram[0, 0])), incomplete
+
+
+def _narrow_sums(
+    df: DataFrame, y: str, xs: Sequence[str], centres: dict[str, float] | None
+) -> tuple[np.ndarray, np.ndarray, int, int]:
+    row = _sums(df, y, xs, centres).first()
+    width = len(xs) + 1
+    A = np.zeros((width, width))
+    for i, j in _cells(width):
+        A[i, j] = A[j, i] = row[f"a_{i}_{j}"] or 0.0
+    b = np.array([row[f"b_{i}"] or 0.0 for i in range(width)])
+    return A, b, row["rows"], row["incomplete"]
+
+
 def normal_equations(
     df: DataFrame, y: str, xs: Sequence[str], centres: dict[str, float] | None = None
 ) -> NormalEquations:
     """Collect the p x p sums, p being the number of features plus one."""
     _check(y, xs)
-    row = _sums(df, y, xs, centres).first()
-    if not row["rows"]:
+    sums = _narrow_sums if len(xs) < MAX_SUM_TERMS else _wide_sums
+    A, b, rows, incomplete = sums(df, y, xs, centres)
+    if not rows:
         raise ValueError("no rows to fit")
-    if row["incomplete"]:
-        raise ValueError(f"{row['incomplete']} rows have an empty value")
-    terms = [INTERCEPT, *xs]
-    A = np.empty((len(terms), len(terms)))
-    for i, j in _cells(len(terms)):
-        A[i, j] = A[j, i] = row[f"a_{i}_{j}"]
-    b = np.array([row[f"b_{i}"] for i in range(len(terms))])
-    return NormalEquations(terms, A, b, row["rows"])
+    if incomplete:
+        raise ValueError(f"{incomplete} rows have an empty value")
+    return NormalEquations([INTERCEPT, *xs], A, b, rows)
 
 
 def normal_matrix(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
@@ -109,19 +158,24 @@ def _solve(A: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.linalg.solve(scaled, b / scale) / scale
 
 
+def _guess_centres(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    averages = [F.avg(F.col(name).cast("double")).alias(name) for name in columns]
+    row = df.select(*columns).limit(CENTRE_ROWS).agg(*averages).first()
+    return {name: row[name] if row[name] is not None and np.isfinite(row[name]) else 0.0 for name in columns}
+
+
 def coefficients(df: DataFrame, y: str, xs: Sequence[str]) -> dict[str, float]:
-    """Intercept and slopes by term."""
-    equations = normal_equations(df, y, xs)
+    """Intercept and slopes by term, in one pass over the table."""
+    _check(y, xs)
+    centres = _guess_centres(df, [y, *xs])
+    equations = normal_equations(df, y, xs, centres)
     if not (np.isfinite(equations.A).all() and np.isfinite(equations.b).all()):
         raise ValueError("the columns hold values that are not finite")
-    if np.linalg.cond(_scaled(equations.A)[0]) <= MAX_CONDITION:
-        beta = _solve(equations.A, equations.b)
-        return dict(zip(equations.terms, beta.tolist(), strict=True))
-    # Second pass around the means: the constant term then separates from the slopes.
-    means = equations.A[0] / equations.rows
-    centres = dict(zip(xs, means[1:].tolist(), strict=True)) | {y: float(equations.b[0] / equations.rows)}
-    centred = normal_equations(df, y, xs, centres)
-    beta = _solve(centred.A, centred.b)
+    if np.linalg.cond(_scaled(equations.A)[0]) > MAX_CONDITION:
+        offsets = dict(zip([*xs, y], [*equations.A[0, 1:], equations.b[0]], strict=True))
+        centres = {name: centres[name] + float(offsets[name]) / equations.rows for name in centres}
+        equations = normal_equations(df, y, xs, centres)
+    beta = _solve(equations.A, equations.b)
     slopes = dict(zip(xs, beta[1:].tolist(), strict=True))
     intercept = centres[y] + beta[0] - sum(slopes[x] * centres[x] for x in xs)
     return {INTERCEPT: float(intercept), **slopes}

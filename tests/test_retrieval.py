@@ -1,0 +1,169 @@
+import math
+from collections import Counter, defaultdict
+
+import pytest
+
+from tallygraph.operators import (
+    corpus_size,
+    describe_corpus,
+    document_frequency,
+    inverse_frequency,
+    matching_terms,
+    search,
+    search_counts,
+    term_frequency,
+    tfidf,
+    tokenize,
+    word_count,
+    word_count_of_rows,
+)
+from tallygraph.operators import retrieval
+from tallygraph.plans import count_words, score_documents, search_documents
+
+# "the" has a posting in every document and most of the occurrences.
+TEXTS = {
+    f"d{i}": " ".join(["the"] * (i % 7 + 1) + [f"w{chr(97 + i % 5)}", "mid" if i % 3 else "rare"] + ["x1", "É"])
+    for i in range(40)
+} | {"empty": "", "numbers": "1 2 3"}
+
+
+def brute_counts():
+    return {doc: Counter(w for w in text.split() if w.isascii() and w.isalpha()) for doc, text in TEXTS.items()}
+
+
+def brute_scores():
+    counts = brute_counts()
+    df = Counter(word for found in counts.values() for word in found)
+    return {
+        (word, doc): (math.log10(n) + 1) * math.log10(1 + len(TEXTS) / df[word])
+        for doc, found in counts.items()
+        for word, n in found.items()
+    }
+
+
+def brute_search(terms):
+    hits = defaultdict(float)
+    for (word, doc), score in brute_scores().items():
+        if word in {t.lower() for t in terms}:
+            hits[doc] += score
+    return hits
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(list(TEXTS.items()), "doc_id string, text string")
+
+
+@pytest.fixture(scope="module")
+def split_docs(spark):
+    """The same corpus, one row per word: a document spans many rows."""
+    pieces = [(doc, word) for doc, text in TEXTS.items() for word in (text.split() or [""])]
+    return spark.createDataFrame(pieces, "doc_id string, text string").repartition(7)
+
+
+def as_dict(df, value):
+    return {(row["word"], row["doc_id"]): row[value] for row in df.collect()}
+
+
+def flat_counts():
+    return {(word, doc): n for doc, found in brute_counts().items() for word, n in found.items()}
+
+
+def test_corpus_size_counts_documents_without_words(docs, split_docs):
+    assert corpus_size(docs) == corpus_size(split_docs) == len(TEXTS)
+    assert describe_corpus(docs).one_row_per_doc
+    assert not describe_corpus(split_docs).one_row_per_doc
+
+
+def test_both_ways_of_counting_agree(docs, split_docs):
+    expected = flat_counts()
+    assert as_dict(word_count(tokenize(docs)), "n") == expected
+    assert as_dict(word_count_of_rows(docs), "n") == expected
+    assert as_dict(word_count(tokenize(split_docs)), "n") == expected
+    assert as_dict(count_words(docs), "n") == as_dict(count_words(split_docs), "n") == expected
+
+
+def test_counts_are_long(docs):
+    for counts in (word_count(tokenize(docs)), word_count_of_rows(docs)):
+        assert dict(counts.dtypes)["n"] == "bigint"
+
+
+def test_rows_without_id_are_no_documents(spark):
+    docs = spark.createDataFrame([(None, "a b"), (1, "a"), (2, None)], "doc_id int, text string")
+    assert corpus_size(docs) == 2
+    assert as_dict(count_words(docs), "n") == {("a", 1): 1}
+
+
+def test_term_frequency(docs):
+    found = as_dict(term_frequency(count_words(docs)), "tf")
+    assert found == pytest.approx({key: math.log10(n) + 1 for key, n in flat_counts().items()})
+    assert min(found.values()) == 1.0
+
+
+def test_document_and_inverse_frequency(docs):
+    n = len(TEXTS)
+    frequencies = {r.word: r.df for r in document_frequency(count_words(docs)).collect()}
+    assert frequencies == Counter(word for found in brute_counts().values() for word in found)
+    inverse = inverse_frequency(document_frequency(count_words(docs)), n).collect()
+    assert {r.word: r.idf for r in inverse} == pytest.approx(
+        {word: math.log10(1 + n / df) for word, df in frequencies.items()}
+    )
+    assert all(r.idf > 0 for r in inverse)
+
+
+@pytest.mark.parametrize("salts", [None, 1, 3, 100])
+def test_tfidf(docs, split_docs, salts):
+    for source in (docs, split_docs):
+        assert as_dict(tfidf(count_words(source), len(TEXTS), salts), "tfidf") == pytest.approx(brute_scores())
+
+
+def test_pipeline_takes_another_corpus_size(docs):
+    scores = as_dict(score_documents(docs, n_docs=1000), "tfidf")
+    assert scores["the", "d0"] == pytest.approx(math.log10(1 + 1000 / 40))
+
+
+@pytest.mark.parametrize("terms", [["the"], ["THE", "rare", "the"], ["mid", "wa", "nowhere"], ["nowhere"]])
+def test_search(docs, split_docs, terms):
+    expected = pytest.approx(dict(brute_search(terms)))
+    for hits in (
+        search(score_documents(docs), terms),
+        search_documents(split_docs, terms),
+        search_counts(count_words(docs), terms, len(TEXTS)),
+    ):
+        assert {r.doc_id: r.score for r in hits.collect()} == expected
+
+
+def test_search_terms_are_matched_whole(docs):
+    assert search(score_documents(docs), ["the rare"]).count() == 0
+
+
+def test_search_top(docs):
+    best = sorted(brute_search(["the", "rare"]).items(), key=lambda hit: (-hit[1], hit[0]))[:5]
+    found = search(score_documents(docs), ["the", "rare"], top=5).collect()
+    assert [r.doc_id for r in found] == [doc for doc, _ in best]
+
+
+def test_search_needs_terms(spark, docs):
+    with pytest.raises(ValueError):
+        search(score_documents(docs), [])
+    with pytest.raises(TypeError):
+        search(score_documents(docs), "the")
+    with pytest.raises(ValueError):
+        search(score_documents(docs), spark.createDataFrame([], "term string"))
+
+
+def test_term_tables_of_any_length_agree(spark, docs, monkeypatch):
+    terms = spark.createDataFrame([("The",), ("mid",), ("mid",), (None,), ("zz",)], "term string")
+    scores = score_documents(docs)
+    expected = pytest.approx(dict(brute_search(["the", "mid"])))
+    assert {r.doc_id: r.score for r in search(scores, terms).collect()} == expected
+    monkeypatch.setattr(retrieval, "SMALL_TERM_LIST", 1)
+    assert {r.doc_id: r.score for r in search(scores, terms).collect()} == expected
+    hits = search_counts(count_words(docs), ["the", "mid"], len(TEXTS))
+    assert {r.doc_id: r.score for r in hits.collect()} == expected
+    assert matching_terms(scores, terms).select("word").distinct().count() == 2
+
+
+def test_result_does_not_depend_on_partitioning(docs):
+    spread = as_dict(score_documents(docs.repartition(13)), "tfidf")
+    assert spread == pytest.approx(as_dict(score_documents(docs.coalesce(1)), "tfidf"))

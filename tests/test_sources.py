@@ -1,0 +1,133 @@
+import pytest
+
+from tallygraph.operators import corpus_size, tokenize, word_count
+from tallygraph.sources import (
+    count_files,
+    numeric_columns,
+    read_documents,
+    read_lines,
+    read_numeric_csv,
+    read_ranked,
+    read_scores,
+    split_paths,
+    spread_small,
+    write_betas,
+    write_ranked,
+    write_scores,
+    write_tsv,
+)
+from tallygraph.staging import checkpoint_root, staging
+
+
+def test_split_paths():
+    assert split_paths("a,b/{x,y}.txt,c") == ["a", "b/{x,y}.txt", "c"]
+    assert split_paths(["a,b", "c"]) == ["a,b", "c"]
+
+
+def test_lines_keep_blank_ones(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"one\n\ntwo\r\nthree")
+    (tmp_path / "b.txt").write_text("four\n")
+    lines = read_lines(spark, f"{tmp_path}/a.txt,{tmp_path}/b.txt")
+    assert sorted(r.value for r in lines.collect()) == ["", "four", "one", "three", "two"]
+
+
+def test_document_id_is_the_base_name(spark, tmp_path):
+    for folder in ("x", "y"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "same.txt").write_text("Word word\nother\n")
+    (tmp_path / "x" / "a b+c%=#####é.txt").write_text("odd name")
+    docs = read_documents(spark, [str(tmp_path / "x"), str(tmp_path / "y")])
+    counts = {(r.word, r.doc_id): r.n for r in word_count(tokenize(docs)).collect()}
+    assert counts == {
+        ("word", "same.txt"): 4,
+        ("other", "same.txt"): 2,
+        ("odd", "a b+c%=#####é.txt"): 1,
+        ("name", "a b+c%=#####é.txt"): 1,
+    }
+    assert corpus_size(docs) == 2
+
+
+def test_count_files_sees_what_readers_skip(spark, tmp_path):
+    for name in ("a.txt", "_hidden", ".dot"):
+        (tmp_path / name).write_text("x")
+    (tmp_path / "empty").write_text("")
+    (tmp_path / "folder").mkdir()
+    (tmp_path / "folder" / "b.txt").write_text("x")
+    assert count_files(spark, str(tmp_path)) == 4
+
+
+def test_numeric_csv(spark, tmp_path, rows):
+    (tmp_path / "n.csv").write_text("1,2.5,-3e2\n 4 , 5,6\n")
+    table = read_numeric_csv(spark, str(tmp_path / "n.csv"))
+    assert table.dtypes == [("y", "double"), ("x1", "double"), ("x2", "double")]
+    assert rows(table) == [(1.0, 2.5, -300.0), (4.0, 5.0, 6.0)]
+    named = read_numeric_csv(spark, str(tmp_path / "n.csv"), ["a", "b", "c"])
+    assert named.columns == ["a", "b", "c"]
+    (tmp_path / "empty.csv").write_text("\n")
+    with pytest.raises(ValueError):
+        read_numeric_csv(spark, str(tmp_path / "empty.csv"))
+    with pytest.raises(ValueError):
+        numeric_columns(0)
+
+
+def test_ranked_text_is_ordered_over_files(spark, tmp_path):
+    ranks = spark.range(2000).selectExpr("concat('p', id, '\tq\"') AS id", "double(id % 17) AS rank").repartition(6)
+    out = tmp_path / "ranked"
+    write_ranked(ranks, str(out))
+    lines = [line for part in sorted(out.glob("part-*")) for line in part.read_text().splitlines()]
+    expected = sorted(ranks.collect(), key=lambda r: (-r["rank"], r["id"]))
+    assert lines == [f"{r['id']}\t{r['rank']}" for r in expected]
+    back = {(r["id"], r["rank"]) for r in read_ranked(spark, str(out)).collect()}
+    assert back == {(r["id"], r["rank"]) for r in expected}
+
+
+def test_rank_text_keeps_all_digits(spark, tmp_path):
+    values = [0.15000000000000002, 0.16049382716026525, 1e-7, 123456789.123]
+    df = spark.createDataFrame([(f"p{i}", v) for i, v in enumerate(values)], "id string, rank double")
+    write_ranked(df, str(tmp_path / "r"))
+    assert {r["rank"] for r in read_ranked(spark, str(tmp_path / "r")).collect()} == set(values)
+
+
+def test_scores_are_sorted_by_word_in_every_file(spark, tmp_path, rows):
+    scores = spark.range(300).selectExpr(
+        "concat('w', id % 50) AS word", "concat('d', id) AS doc_id", "double(id) AS tfidf"
+    ).repartition(3)
+    write_scores(scores, str(tmp_path / "scores"))
+    back = read_scores(spark, str(tmp_path / "scores"))
+    assert rows(back) == rows(scores)
+    for part in (tmp_path / "scores").glob("part-*.parquet"):
+        words = [r.word for r in spark.read.parquet(str(part)).collect()]
+        assert words == sorted(words)
+
+
+def test_betas_are_one_file(spark, tmp_path):
+    betas = spark.createDataFrame([("intercept", 0.5), ("x1", 2.0)], "term string, beta double").repartition(2)
+    write_betas(betas, str(tmp_path / "betas"))
+    (part,) = (tmp_path / "betas").glob("part-*")
+    assert sorted(part.read_text().splitlines()) == ["intercept\t0.5", "x1\t2.0"]
+
+
+def test_tsv_keeps_columns_of_null_cells(spark, tmp_path):
+    df = spark.createDataFrame([(None, 1, "b")], "a string, n int, b string")
+    write_tsv(df.coalesce(1), str(tmp_path / "t"))
+    (part,) = (tmp_path / "t").glob("part-*")
+    assert part.read_text() == "\t1\tb\n"
+
+
+def test_spread_small(spark):
+    few = spark.range(0, 100, 1, 2)
+    many = spark.range(0, 100, 1, 20)
+    assert spread_small(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread_small(many) is many
+
+
+def test_staged_tables_live_in_the_checkpoint_folder_and_go(spark, tmp_path):
+    root = checkpoint_root(spark)
+    assert root == spark.conf.get("spark.checkpoint.dir")
+    with staging(spark) as area:
+        stored = area.table(spark.range(5).toDF("id"), "numbers")
+        assert stored.count() == 5
+        assert area.root.startswith(root)
+        assert area.path("numbers").startswith(area.root)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(area.path("numbers"))
