@@ -18,7 +18,7 @@ DAMPING = 0.85
 ITERATIONS = 10
 
 # Steps planned as one job before the ranks are checkpointed.
-STEPS_PER_CHECKPOINT = 5
+STEPS_PER_CHECKPOINT = 3
 
 
 def _received(sent: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def _lay_out(
     degree = edges.groupBy(F.col("src").alias("id")).agg(
         F.sum("multiplicity").alias("out_degree"), F.count("*").alias("targets")
     )
-    heavy, limit = heavy_keys(degree, "targets", heavy_rows)
+    heavy, limit = heavy_keys(degree, "targets", edges.count(), heavy_rows)
     known = semi_join_spread(edges, "dst", nodes, heavy_rows)
 
     columns, keys = ["id", "out_degree"], ["src"]

@@ -31,19 +31,18 @@ def salt_of(spread_by: str | Column, salts: int) -> Column:
 
 
 def heavy_keys(
-    sizes: DataFrame, rows: str, heavy_rows: int = HEAVY_ROWS
+    sizes: DataFrame, rows: str, total: int, heavy_rows: int = HEAVY_ROWS
 ) -> tuple[DataFrame | None, int]:
     """The heavy rows of ``sizes`` (one row per key) and the limit they exceed.
 
-    The limit is the average size of a shuffle partition, but at least
-    ``heavy_rows``, so fewer keys than shuffle partitions can exceed it. The first
-    value is ``None`` if no key does.
+    ``total`` is the number of rows over all keys. The limit is the average size of
+    a shuffle partition, but at least ``heavy_rows``, so fewer keys than shuffle
+    partitions can exceed it. The first value is ``None`` if no key does.
     """
-    total, largest = sizes.agg(F.sum(rows), F.max(rows)).first()
-    if total is None:
-        return None, heavy_rows
     limit = max(total // shuffle_partitions(sizes.sparkSession), heavy_rows)
-    return (sizes.where(F.col(rows) > limit) if largest > limit else None), limit
+    if total <= limit or sizes.agg(F.max(rows)).first()[0] <= limit:
+        return None, limit
+    return sizes.where(F.col(rows) > limit), limit
 
 
 def semi_join_spread(
@@ -51,12 +50,12 @@ def semi_join_spread(
 ) -> DataFrame:
     """Rows of ``big`` whose ``key`` occurs in the only column of ``members``.
 
-    ``big`` should be a stored table: it is read once for the key sizes and once
-    per branch.
+    ``big`` should be a stored table: it is counted, read for the key sizes, and
+    read once per branch.
     """
     keys = members.toDF(key)
     sizes = big.groupBy(key).agg(F.count("*").alias("rows_of_key"))
-    heavy, _ = heavy_keys(sizes, "rows_of_key", heavy_rows)
+    heavy, _ = heavy_keys(sizes, "rows_of_key", big.count(), heavy_rows)
     if heavy is None:
         return big.join(keys, key, "left_semi")
     heavy = heavy.select(key)

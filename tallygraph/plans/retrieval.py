@@ -1,6 +1,9 @@
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallygraph.operators import (
     Corpus,
@@ -11,6 +14,10 @@ from tallygraph.operators import (
     word_count,
     word_count_of_rows,
 )
+from tallygraph.operators.retrieval import query_terms
+
+# With more terms than this the substring test would cost more than it saves.
+MAX_SUBSTRING_TERMS = 50
 
 
 def count_words(
@@ -43,8 +50,16 @@ def search_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``(doc_id, score)`` for one query over a corpus that has no stored scores."""
+    """``(doc_id, score)`` for one query over a corpus that has no stored scores.
+
+    A text that holds a word also contains it as a substring, which is far cheaper
+    to see than its words: only the texts that pass this test are tokenised.
+    """
     if n_docs is None:
         n_docs = describe_corpus(docs, id_col).n_docs
+    keys = query_terms(terms)
+    if len(keys) <= MAX_SUBSTRING_TERMS:
+        lowered = F.lower(F.col(text_col))
+        docs = docs.where(reduce(or_, (F.contains(lowered, F.lit(key)) for key in keys)))
     counts = word_count(tokenize(docs, id_col, text_col))
-    return search_counts(counts, terms, n_docs, top)
+    return search_counts(counts, keys, n_docs, top)

@@ -181,8 +181,12 @@ def link_out_degree(spark, sf_dir):
 @query
 def known_links(spark, sf_dir):
     """Links whose target is a page of the dump."""
-    pages = op.parse_pages(wiki_lines(spark, sf_dir))
-    return semi_join_spread(op.links_to_edges(pages), "dst", op.page_nodes(pages)).select("src", "dst", "multiplicity")
+    checkpoint_root(spark)
+    with staging(spark) as area:
+        pages = area.table(op.parse_pages(wiki_lines(spark, sf_dir)), "pages")
+        edges = area.table(op.links_to_edges(pages), "edges")
+        known = semi_join_spread(edges, "dst", op.page_nodes(pages))
+        return known.select("src", "dst", "multiplicity").checkpoint()
 
 
 @query
