@@ -3,12 +3,14 @@
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tallygraph.operators.skew import (
     HEAVY_ROWS,
     heavy_keys,
+    join_split,
+    join_spread,
     salt_of,
-    semi_join_spread,
     shuffle_partitions,
 )
 from tallygraph.staging import Staging, checkpoint_root, staging
@@ -27,11 +29,13 @@ def _received(sent: DataFrame) -> DataFrame:
     return sent.groupBy("dst").agg(F.sum(F.col("share") * F.col("multiplicity")).alias("received"))
 
 
-def _next_ranks(pages: DataFrame, contributions: DataFrame, damping: float) -> DataFrame:
+def _next_ranks(
+    pages: DataFrame, contributions: DataFrame, damping: float, key: str = "page"
+) -> DataFrame:
     """``rank = (1 - d) + d * sum``; pages without incoming links get ``1 - d``."""
     received = F.coalesce(F.col("received"), F.lit(0.0))
     rank = F.lit(1.0 - damping) + F.lit(damping) * received
-    joined = pages.join(contributions.hint("merge"), pages["id"] == contributions["dst"], "left")
+    joined = pages.join(contributions.hint("merge"), pages[key] == contributions["dst"], "left")
     return joined.select(*(pages[name] for name in pages.columns), rank.alias("rank"))
 
 
@@ -68,7 +72,7 @@ def pagerank_step(
         "src", "salt", (F.col("rank") / F.col("out_degree")).alias("share")
     )
     contributions = _received(links.join(shares, ["src", "salt"]))
-    return _next_ranks(nodes.select("id").distinct(), contributions, damping)
+    return _next_ranks(nodes.select("id").distinct(), contributions, damping, "id")
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -82,33 +86,47 @@ def _stored(df: DataFrame) -> DataFrame:
 def _lay_out(
     nodes: DataFrame, edges: DataFrame, area: Staging, heavy_rows: int
 ) -> tuple[DataFrame, DataFrame, bool]:
-    """Pages partitioned by ``id`` and edges by ``src``, the same way, once for all steps.
+    """Pages partitioned by ``page`` and links by ``src``, the same way, once for all steps.
 
-    Edges to unknown pages count in the out-degree but carry rank nowhere, so they
-    are left out of the stored edges. If some page has so many links that it would
-    overload one task, the edges are partitioned by ``(src, salt)`` instead.
+    Pages without integer ids are numbered, as names would make every stored link and
+    every row of every step several times larger. The numbers are fixed by storing them. Links to
+    unknown pages count in the out-degree but carry rank nowhere, so they are left out.
+    If some page has so many links that it would overload one task, the links are
+    partitioned by ``(src, salt)`` instead.
     """
-    nodes = area.table(nodes.select("id").distinct(), "nodes")
-    edges = area.table(edges.select("src", "dst", "multiplicity"), "edges")
+    named = not isinstance(nodes.schema["id"].dataType, IntegralType)
+    page = F.monotonically_increasing_id() if named else F.col("id").cast("bigint")
+    nodes = area.table(nodes.select("id").distinct().withColumn("page", page), "nodes")
+    ends = [F.col(end) if named else F.col(end).cast("bigint").alias(end) for end in ("src", "dst")]
+    edges = area.table(edges.select(*ends, "multiplicity"), "edges")
     degree = edges.groupBy(F.col("src").alias("id")).agg(
         F.sum("multiplicity").alias("out_degree"), F.count("*").alias("targets")
     )
     heavy, limit = heavy_keys(degree, "targets", edges.count(), heavy_rows)
-    known = semi_join_spread(edges, "dst", nodes, heavy_rows)
-
-    columns, keys = ["id", "out_degree"], ["src"]
+    salts = F.ceil(F.col("targets") / F.lit(limit)).cast("int").alias("salts")
+    pages = nodes.join(degree, "id", "left").select("page", "id", "out_degree", salts)
+
+    if named:
+        heavy_src = None if heavy is None else heavy.select(F.col("id").alias("src"))
+        known = join_spread(edges, nodes.toDF("dst", "dst_page"), "dst", "inner", heavy_rows)
+        links = join_split(known, nodes.toDF("src", "src_page"), "src", "inner", heavy_src).select(
+            F.col("src_page").alias("src"), F.col("dst_page").alias("dst"), "multiplicity"
+        )
+    else:
+        links = join_spread(edges, nodes.select(F.col("page").alias("dst")), "dst", "left_semi", heavy_rows)
+    keys = ["src"]
     if heavy is not None:
-        salts = F.ceil(F.col("targets") / F.lit(limit)).cast("int").alias("salts")
-        degree = degree.select("id", "out_degree", salts)
-        known = known.join(F.broadcast(heavy.select(F.col("id").alias("src"), salts)), "src", "left")
+        hubs = nodes.join(F.broadcast(heavy.select("id", salts)), "id")
+        hubs = hubs.select(F.col("page").alias("src"), "salts")
         salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int"), F.lit(0))
-        known = known.select("src", salt.alias("salt"), "dst", "multiplicity")
-        columns, keys = ["id", "out_degree", "salts"], ["src", "salt"]
+        links = links.join(F.broadcast(hubs), "src", "left").select(
+            "src", salt.alias("salt"), "dst", "multiplicity"
+        )
+        keys = ["src", "salt"]
 
     partitions = shuffle_partitions(edges.sparkSession)
-    pages = nodes.join(degree, "id", "left").select(*columns)
-    pages = _stored(pages.repartition(partitions, "id").sortWithinPartitions("id"))
-    links = _stored(known.repartition(partitions, *keys).sortWithinPartitions(*keys))
+    pages = _stored(pages.repartition(partitions, "page").sortWithinPartitions("page"))
+    links = _stored(links.repartition(partitions, *keys).sortWithinPartitions(*keys))
     return pages, links, heavy is not None
 
 
@@ -117,10 +135,10 @@ def _spread_shares(ranks: DataFrame, links: DataFrame, salted: bool) -> DataFram
     if salted:
         # A page with many links hands its share to each of its salts.
         salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
-        shares = ranks.where(F.col("out_degree") > 0).select(F.col("id").alias("src"), share, salt)
+        shares = ranks.where(F.col("out_degree") > 0).select(F.col("page").alias("src"), share, salt)
         sent = links.join(shares.hint("merge"), ["src", "salt"])
     else:
-        shares = ranks.where(F.col("out_degree") > 0).select(F.col("id").alias("src"), share)
+        shares = ranks.where(F.col("out_degree") > 0).select(F.col("page").alias("src"), share)
         # The tables are partitioned and sorted for this, so a merge join moves nothing.
         sent = links.join(shares.hint("merge"), "src")
     return _received(sent)
@@ -151,7 +169,7 @@ def pagerank(
             for step in range(1, iterations + 1):
                 ranks = _next_ranks(pages, _spread_shares(ranks, links, salted), damping)
                 if step % STEPS_PER_CHECKPOINT == 0 and step < iterations:
-                    ranks = ranks.checkpoint()
+                    ranks = ranks.drop("id").checkpoint()
             return ranks.select("id", "rank").checkpoint()
         finally:
             links.unpersist()

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygraph.functions import inverse_document_frequency, log_term_frequency, plain_words
-from tallygraph.operators.skew import salt_of, semi_join_spread, shuffle_partitions
+from tallygraph.operators.skew import salt_of, join_spread, shuffle_partitions
 
 # Term lists up to this length travel as literals or a broadcast; longer ones are shuffled.
 SMALL_TERM_LIST = 10_000
@@ -135,7 +135,7 @@ def matching_terms(table: DataFrame, terms: Iterable[str] | DataFrame, term_col:
         raise ValueError("search needs at least one term")
     if found <= SMALL_TERM_LIST:
         return table.join(F.broadcast(keys), "word", "left_semi")
-    return semi_join_spread(table, "word", keys)
+    return join_spread(table, keys, "word", "left_semi")
 
 
 def _score_documents(scores: DataFrame, top: int | None) -> DataFrame:

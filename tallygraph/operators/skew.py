@@ -45,21 +45,29 @@ def heavy_keys(
     return sizes.where(F.col(rows) > limit), limit
 
 
-def semi_join_spread(
-    big: DataFrame, key: str, members: DataFrame, heavy_rows: int = HEAVY_ROWS
+def join_split(
+    big: DataFrame, small: DataFrame, key: str, how: str, heavy: DataFrame | None
 ) -> DataFrame:
-    """Rows of ``big`` whose ``key`` occurs in the only column of ``members``.
+    """``inner`` or ``left_semi`` join of a table with hot keys to one with unique keys.
+
+    ``heavy`` is a column of the keys to keep out of the shuffle. It must be short:
+    its slice of ``small`` is broadcast.
+    """
+    if heavy is None:
+        return big.join(small, key, how)
+    light_part = big.join(F.broadcast(heavy), key, "left_anti").join(small, key, how)
+    heavy_part = big.join(F.broadcast(small.join(heavy, key, "left_semi")), key, how)
+    return light_part.unionByName(heavy_part)
+
+
+def join_spread(
+    big: DataFrame, small: DataFrame, key: str, how: str = "inner", heavy_rows: int = HEAVY_ROWS
+) -> DataFrame:
+    """``join_split`` that finds the heavy keys itself.
 
     ``big`` should be a stored table: it is counted, read for the key sizes, and
     read once per branch.
     """
-    keys = members.toDF(key)
     sizes = big.groupBy(key).agg(F.count("*").alias("rows_of_key"))
     heavy, _ = heavy_keys(sizes, "rows_of_key", big.count(), heavy_rows)
-    if heavy is None:
-        return big.join(keys, key, "left_semi")
-    heavy = heavy.select(key)
-    light_part = big.join(F.broadcast(heavy), key, "left_anti").join(keys, key, "left_semi")
-    known_heavy = heavy.join(keys, key, "left_semi")
-    heavy_part = big.join(F.broadcast(known_heavy), key, "left_semi")
-    return light_part.unionByName(heavy_part)
+    return join_split(big, small, key, how, None if heavy is None else heavy.select(key))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallygraph import operators as op
 from tallygraph.functions import page_title
-from tallygraph.operators.skew import semi_join_spread
+from tallygraph.operators.skew import join_spread
 from tallygraph.plans import count_words, fit_csv, rank_lines, score_documents, search_documents
 from tallygraph.sources import (
     read_lines,
@@ -185,7 +185,7 @@ def known_links(spark, sf_dir):
     with staging(spark) as area:
         pages = area.table(op.parse_pages(wiki_lines(spark, sf_dir)), "pages")
         edges = area.table(op.links_to_edges(pages), "edges")
-        known = semi_join_spread(edges, "dst", op.page_nodes(pages))
+        known = join_spread(edges, op.page_nodes(pages).toDF("dst"), "dst", "left_semi")
         return known.select("src", "dst", "multiplicity").checkpoint()
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallygraph.operators import initial_ranks, out_degree, pagerank, pagerank_step, rank_order, top_pages
-from tallygraph.operators.skew import semi_join_spread
+from tallygraph.operators.skew import join_spread
 from tallygraph.plans import rank_lines
 
 
@@ -102,8 +102,13 @@ def test_shares_of_a_page_sum_to_one(hub):
 def test_integer_ids(spark):
     links = [(1, 2), (2, 3), (3, 1), (3, 9), (1, 2)]
     nodes = spark.createDataFrame([(i,) for i in (1, 2, 3)], "id int")
-    edges = spark.createDataFrame([(s, d, n) for (s, d), n in Counter(links).items()], "src int, dst int, multiplicity int")
-    assert ranks_of(pagerank(nodes, edges)) == pytest.approx(brute_pagerank([1, 2, 3], links, 3, 10))
+    pairs = [(s, d, n) for (s, d), n in Counter(links).items()]
+    expected = pytest.approx(brute_pagerank([1, 2, 3], links, 3, 10))
+    for ends, heavy_rows in (("int", 1_000_000), ("bigint", 1_000_000), ("int", 1)):
+        edges = spark.createDataFrame(pairs, f"src {ends}, dst {ends}, multiplicity int")
+        ranks = pagerank(nodes, edges, heavy_rows=heavy_rows)
+        assert dict(ranks.dtypes) == {"id": "int", "rank": "double"}
+        assert ranks_of(ranks) == expected
 
 
 def test_rank_lines_counts_every_line(spark):
@@ -135,12 +140,14 @@ def test_ranking_breaks_ties_by_id(spark):
 
 
 @pytest.mark.parametrize("heavy_rows", [1_000_000, 1])
-def test_semi_join_spread(spark, rows, heavy_rows):
+def test_join_spread(spark, rows, heavy_rows):
     keys = [0] * 500 + [1] * 300 + list(range(2, 90))
     big = spark.createDataFrame(list(zip(keys, range(len(keys)), strict=True)), "k int, v int").repartition(6)
-    members = spark.createDataFrame([(0,)] + [(i,) for i in range(40, 200)], "id int")
+    members = spark.createDataFrame([(0, "a")] + [(i, "b") for i in range(40, 200)], "k int, tag string")
     expected = sorted(((k, v) for v, k in enumerate(keys) if k == 0 or k >= 40), key=repr)
-    assert rows(semi_join_spread(big, "k", members, heavy_rows)) == expected
+    assert rows(join_spread(big, members.select("k"), "k", "left_semi", heavy_rows)) == expected
+    tagged = sorted(((k, v, "b" if k else "a") for k, v in expected), key=repr)
+    assert rows(join_spread(big, members, "k", "inner", heavy_rows)) == tagged
 
 
 def test_negative_iterations(hub):
