@@ -36,10 +36,13 @@ def count_words(
 def score_documents(
     docs: DataFrame, n_docs: int | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``(word, doc_id, tfidf)`` of a corpus. ``n_docs`` overrides the number of documents."""
-    corpus = describe_corpus(docs, id_col)
-    counts = count_words(docs, corpus, id_col, text_col)
-    return tfidf(counts, corpus.n_docs if n_docs is None else n_docs)
+    """``(word, doc_id, tfidf)`` of a corpus.
+
+    ``n_docs`` saves the pass that counts the documents, or sets another number, such
+    as the files of a folder with empty ones among them.
+    """
+    corpus = describe_corpus(docs, id_col) if n_docs is None else Corpus(n_docs, one_row_per_doc=False)
+    return tfidf(count_words(docs, corpus, id_col, text_col), corpus.n_docs)
 
 
 def search_documents(

@@ -115,7 +115,8 @@ def search_any(spark, sf_dir):
 @query
 def search_by_document(spark, sf_dir):
     docs = conversations(spark, sf_dir)
-    hits = op.search_counts(op.word_count(op.tokenize(docs, "conv_id")), ["que", "la"], op.corpus_size(docs, "conv_id"))
+    counts = op.word_count(op.tokenize(docs, "conv_id"))
+    hits = op.search_counts(counts, ["que", "la"], op.corpus_size(docs, "conv_id"))
     return hits.select("doc_id", rounded("score")).orderBy("doc_id")
 
 

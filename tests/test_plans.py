@@ -137,8 +137,9 @@ def test_top_pages_does_not_sort_everything(spark, executed_plan):
 
 
 def test_no_python_in_text_and_graph_plans(spark, docs, executed_plan):
+    nodes = parts(spark, SMALL)
     plans = [
         executed_plan(tfidf(word_count(tokenize(docs)), 200)),
-        executed_plan(pagerank_step(parts(spark, SMALL).withColumn("rank", F.lit(0.1)), parts(spark, SMALL), basket_edges(spark, SMALL))),
+        executed_plan(pagerank_step(nodes.withColumn("rank", F.lit(0.1)), nodes, basket_edges(spark, SMALL))),
     ]
     assert not any("Python" in plan or "Arrow" in plan for plan in plans)
