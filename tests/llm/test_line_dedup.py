@@ -1,0 +1,85 @@
+from collections import defaultdict
+
+from tallygraph.llm.line_dedup import dedup_lines
+
+LONG = "This line is shared by documents"
+OTHER = "Another line of enough characters"
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def brute(table):
+    def key(line):
+        return "".join(c.lower() if c.isascii() else c for c in line.strip(WHITE))
+
+    docs = defaultdict(set)
+    for doc_id, text in table:
+        for line in (text or "").split("\n"):
+            docs[key(line)].add(doc_id)
+    last = {
+        k: max(ids, key=lambda i: (i is not None, i or 0)) for k, ids in docs.items() if len(k) >= 20 and len(ids) >= 3
+    }
+    out = []
+    for doc_id, text in table:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if key(x) not in last or last[key(x)] == doc_id]
+        out.append((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=repr)
+
+
+def check(spark, rows, table):
+    docs = spark.createDataFrame(table, "doc_id long, text string")
+    got = dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "kept_text")
+    assert rows(got) == brute(table)
+
+
+def test_shared_lines(spark, rows):
+    check(
+        spark,
+        rows,
+        [
+            (1, f"{LONG}\nown\n\t{LONG.upper()} \n"),
+            (2, f"x\n{LONG}\n{OTHER}"),
+            (3, LONG),
+            (4, f"{LONG}\n{LONG}\n\n{OTHER}"),
+            (5, OTHER[:19] + "\n" + OTHER[:20]),
+            (6, OTHER[:19] + "\n" + OTHER[:20]),
+            (7, OTHER[:19] + "\n" + OTHER[:20] + "\u00a0"),
+            (8, OTHER[:19] + "\n" + OTHER[:20]),
+            (9, "Élan vital, encore une fois."),
+            (10, "élan vital, encore une fois."),
+            (11, "élan vital, encore une fois."),
+        ],
+    )
+
+
+def test_nulls_repeated_rows_and_long_texts(spark, rows):
+    many = "\n".join(f"{LONG} {i}" for i in range(20_000))
+    check(
+        spark,
+        rows,
+        [
+            (None, f"{LONG}\n{OTHER}"),
+            (None, f"{LONG}\n{OTHER}"),
+            (1, f"{LONG}\nz"),
+            (1, f"{LONG}\nz"),
+            (1, f"y\n{LONG}"),
+            (2, LONG),
+            (3, None),
+            (4, ""),
+            (5, many),
+            (6, many),
+            (7, many),
+        ],
+    )
+
+
+def test_clashing_columns_are_kept(spark):
+    docs = spark.createDataFrame(
+        [(1, LONG, "a", [1], 5)], "doc_id long, text string, line_hash string, positions array<int>, row int"
+    )
+    row = dedup_lines(docs).first()
+    assert row.row.asDict() == {"doc_id": 1, "text": LONG, "line_hash": "a", "positions": [1], "row": 5}
+
+
+def test_empty_table(spark):
+    assert dedup_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
