@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tallygraph.llm.joins import join_sums
 from tallygraph.llm.text import WHITE, fold_case, packed, split_lines
 
 
@@ -40,7 +41,7 @@ def dedup_lines(
     Only 128-bit hashes, ids and positions are shuffled to find the lines. Pairs of line and
     document are made unique before lines are counted, both with sums in the tasks, so a line
     of most documents is no hot key there; the join that marks its lines has one row per line on
-    its right, and Spark may split its left. A null text has one empty line. A document whose
+    its right, and Spark splits a hot line on its left. A null text has one empty line. A document whose
     lines all go keeps an empty text. An empty table gives an empty result.
     """
     whole = docs.select(
@@ -58,7 +59,7 @@ def dedup_lines(
         lines.where(F.length("line") >= min_chars)
         .withColumn("line", F.trim(F.col("line"), F.lit(WHITE)))
         .where(F.length("line") >= min_chars)
-        .select("doc_id", "text_key", "position", F.unhex(F.md5(fold_case(F.col("line")))).alias("line_hash"))
+        .select("doc_id", "text_key", "position", F.md5(fold_case(F.col("line"))).alias("line_hash"))
     )
     shared = (
         found.groupBy("line_hash", "doc_id")
@@ -68,7 +69,7 @@ def dedup_lines(
         .where(F.col("n_docs") >= min_docs)
     )
     dropped = (
-        found.join(shared, "line_hash")
+        join_sums(found, shared, "line_hash")
         .where(~F.col("doc_id").eqNullSafe(F.col("last_id")))
         .groupBy(F.col("doc_id").alias("drop_id"), F.col("text_key").alias("drop_key"))
         .agg(F.collect_set("position").alias("positions"))

@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from tallygraph.llm.chat import fold_events, read_loss, read_turns, render_chats
 from tallygraph.llm.exact_dedup import exact_duplicates
+from tallygraph.llm.language import identify_languages
 from tallygraph.llm.line_dedup import dedup_lines
+from tallygraph.llm.packing import pack_sequences
+from tallygraph.llm.pieces import decoded, encode
 from tallygraph.llm.quality import quality_rules
+from tallygraph.llm.simhash import near_duplicates
 
 PLANTED_CHAT = "\\### Assistant: </turn> ok"
 
@@ -25,6 +29,21 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and the four best segmentations, and a digest of the text that the ids decode to."""
+    encoded = encode(_table(spark, sf_dir, "documents"))
+    return encoded.withColumn("decoded_sha256", F.sha2(decoded(encoded, F.col("ids")), 256))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as sequences of bytes, the tokens of a byte-level model."""
+    return pack_sequences(_table(spark, sf_dir, "documents"), F.octet_length("text"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of ``conversations`` and the planted one as an event log: each row opens a
     message and streams its text as one delta. Rows of one turn are messages of their own."""
@@ -75,9 +94,17 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_simhash": op5_simhash,
     "op6_chat_formatting": op6_chat_formatting,
     "op9_line_dedup": op9_line_dedup,
+    "op10_language_id": op10_language_id,
 }

@@ -1,0 +1,111 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallygraph.llm.language import (
+    LanguageParams,
+    expected_pieces,
+    identify_languages,
+    log_probabilities,
+)
+from tallygraph.llm.lattice import PieceTable, WordNumbers, by_length
+
+PIECES = ["▁", "▁a", "a", "ab", "b", "ba", "▁ab", "abab"]
+
+
+def segmentations(word, table):
+    if not word:
+        yield ()
+        return
+    for m in range(1, len(word) + 1):
+        if word[:m] in table:
+            for rest in segmentations(word[m:], table):
+                yield (word[:m], *rest)
+        elif m == 1:
+            for rest in segmentations(word[m:], table):
+                yield (None, *rest)
+
+
+WORDS = ["▁a", "▁ab", "▁abab", "▁baba", "▁xa", "▁aéb", "▁", "▁abababab"]
+
+
+def test_forward_sums_all_segmentations():
+    probs = np.random.default_rng(1).dirichlet(np.ones(len(PIECES)), 3).T
+    index = {p: i for i, p in enumerate(PIECES)}
+    got = np.exp(log_probabilities(WORDS, PieceTable(PIECES), probs, 1e-3))
+    for w, row in zip(WORDS, got, strict=True):
+        want = sum(np.prod([probs[index[p]] if p else np.full(3, 1e-3) for p in s], axis=0) for s in segmentations(w, index))
+        assert row == pytest.approx(want)
+
+
+def test_expected_pieces():
+    probs = np.random.default_rng(2).dirichlet(np.ones(len(PIECES)))
+    index = {p: i for i, p in enumerate(PIECES)}
+    counts = np.arange(1.0, len(WORDS) + 1)
+    want = np.zeros(len(PIECES))
+    for w, n in zip(WORDS, counts, strict=True):
+        ways = [(np.prod([probs[index[p]] if p else 1e-3 for p in s]), s) for s in segmentations(w, index)]
+        for p, s in ways:
+            for piece in filter(None, s):
+                want[index[piece]] += n * p / sum(q for q, _ in ways)
+    assert expected_pieces(WORDS, counts, PieceTable(PIECES), probs, 1e-3) == pytest.approx(want)
+
+
+def test_long_words_do_not_underflow():
+    probs = np.full((len(PIECES), 2), 1e-6)
+    got = log_probabilities(["▁" + "a" * 5000], PieceTable(PIECES), probs, 1e-7)
+    assert np.isfinite(got).all() and got[0, 0] == pytest.approx(5000 * np.log(1e-6), rel=1e-2)
+
+
+def test_lookup_finds_exactly_the_pieces():
+    table = PieceTable(PIECES)
+    for some, codes in by_length(WORDS, table.max_len):
+        ids = table.edges(codes)
+        for row, k in zip(ids, some, strict=True):
+            w = WORDS[k]
+            for j in range(len(w)):
+                for m in range(ids.shape[2]):
+                    part = w[j - m : j + 1] if m <= j else None
+                    assert row[j, m] == (PIECES.index(part) if part in PIECES else -1)
+
+
+def test_word_numbers_start_anew():
+    made = []
+    numbers = WordNumbers(made.extend, made.clear, limit=2)
+    assert numbers(["a", "b", "a", "c"]).tolist() == [0, 1, 0, 2]
+    assert numbers(["c", "d"]).tolist() == [0, 1] and made == ["c", "d"]
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = identify_languages(docs).where("held_out").join(docs, "doc_id")
+    right = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0]
+    assert right > 0.99
+
+
+def test_odd_rows(spark):
+    en, fr = "the cat and the dog are in the house " * 5, "le chat et le chien sont dans la maison " * 5
+    rows = [(i, t, lang, "x") for i, (t, lang) in enumerate([(en, "en"), (fr, "fr")] * 6)]
+    odd = [(None, None), ("", "en"), ("12 $%", "fr"), ("_", None), ("漢字仮名交じり文", None), ("the " * 40_000, None), ("a" * 3000, None)]
+    rows += [(100 + i, t, lang, "x") for i, (t, lang) in enumerate(odd)] + [(None, en, None, "x"), (0, en, "en", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
+    got = identify_languages(docs).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    by_id = {r.doc_id: r for r in got}
+    assert [by_id[100 + i].lang_pred for i in range(4)] == ["und"] * 4
+    assert by_id[100].score == 0 and by_id[105].lang_pred == "en"
+    assert all(by_id[i].lang_pred == ("en", "fr")[i % 2] for i in range(12))
+
+
+def test_nothing_to_learn_from(spark):
+    docs = spark.createDataFrame([(1, "text", None), (4, None, "en")], "doc_id long, text string, lang string")
+    assert {r.lang_pred for r in identify_languages(docs).collect()} == {"und"}
+    assert identify_languages(docs.limit(0)).collect() == []
+
+
+def test_prediction_uses_the_text_only(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    shuffled = docs.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit("zz")).otherwise(F.col("lang")))
+    a = identify_languages(docs, params=LanguageParams(rounds=1)).toPandas()
+    b = identify_languages(shuffled, params=LanguageParams(rounds=1)).toPandas()
+    assert a.sort_values("doc_id").reset_index(drop=True).equals(b.sort_values("doc_id").reset_index(drop=True))
