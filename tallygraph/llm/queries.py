@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallygraph.llm.chat import fold_events, read_loss, read_turns, render_chats
@@ -10,6 +10,8 @@ from tallygraph.llm.exact_dedup import exact_duplicates
 from tallygraph.llm.language import identify_languages
 from tallygraph.llm.line_dedup import dedup_lines
 from tallygraph.llm.packing import pack_sequences
+from tallygraph.llm.pagetext import extract_text
+from tallygraph.llm.personal import find_personal_data
 from tallygraph.llm.pieces import decoded, encode
 from tallygraph.llm.quality import quality_rules
 from tallygraph.llm.simhash import near_duplicates
@@ -88,6 +90,25 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(_table(spark, sf_dir, "documents"))
+
+    def listed(spans: Column) -> Column:
+        named = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(named, ",")
+
+    base = F.filter("spans", lambda s: s["by_pattern"])
+    counts = [
+        F.array_size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in ("email", "ip", "card", "phone")
+    ]
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
@@ -105,6 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_simhash": op5_simhash,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_personal_data": op7_personal_data,
+    "op8_html_extraction": op8_html_extraction,
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
 }

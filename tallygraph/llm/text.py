@@ -26,7 +26,7 @@ def split_lines(text: Column) -> Column:
 
 def packed(df: DataFrame, name: str = "row") -> Column:
     """All columns of a table in one struct, so that no new column can clash with them."""
-    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias(name)
 
 
 def unpacked(df: DataFrame, columns: list[str], replace: dict[str, Column], name: str = "row") -> DataFrame:
