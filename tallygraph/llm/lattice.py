@@ -99,6 +99,19 @@ def by_length(words: list[str], max_len: int) -> Iterator[tuple[np.ndarray, np.n
             yield some, codes
 
 
+class _Numbers(dict):
+    """Gives each new key the next number."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+
 class WordNumbers:
     """Numbers distinct words within a task, so that each is computed once and not per occurrence.
 
@@ -106,21 +119,19 @@ class WordNumbers:
     bounds the memory; results do not depend on it.
     """
 
-    def __init__(self, compute: Callable[[list[str]], None], reset: Callable[[], None], limit: int = 200_000):
+    def __init__(self, compute: Callable[[list[str]], None], reset: Callable[[], None], limit: int = 300_000):
         self._compute, self._reset, self._limit = compute, reset, limit
-        self._numbers: dict[str, int] = {}
+        self._numbers = _Numbers()
 
     def __call__(self, words: list[str]) -> np.ndarray:
         if len(self._numbers) > self._limit:
-            self._numbers.clear()
+            self._numbers = _Numbers()
             self._reset()
-        numbers = self._numbers
-        new = [w for w in dict.fromkeys(words) if w not in numbers]
-        if new:
-            self._compute(new)
-            first = len(numbers)
-            numbers.update(zip(new, range(first, first + len(new)), strict=True))
-        return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+        found = np.fromiter(map(self._numbers.__getitem__, words), np.int64, len(words))
+        if self._numbers.new:
+            self._compute(self._numbers.new)
+            self._numbers.new = []
+        return found
 
 
 def blocks(texts: Iterable[str | None], chars: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:

@@ -5,8 +5,8 @@ have Zipf probabilities by their rank, since merge ranks are no probabilities. S
 starts, one is put before the text, and characters without a piece become byte pieces, so
 that decoding gives back every text.
 
-No piece reaches across a word start or a line end, so a text's lattice falls apart into those
-of its words. Words are segmented once per task by a forward Viterbi pass. A text's alternatives
+No piece reaches across a word start, a line end or from a letter to an ASCII mark, which is checked,
+so a text's lattice falls apart into those of its words. Words are segmented once per task by a forward Viterbi pass. A text's alternatives
 differ from its best segmentation in the words whose second best is nearest; only these are
 searched, backwards by A* with the forward scores as exact heuristics.
 """
@@ -29,7 +29,12 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 START = "▁"
 # Stands for a literal word start in a text: a character without a piece.
 LITERAL = "\ue000"
-WORDS = re.compile(" *[^ \n]+| +|\n")
+# Parts of a text that no piece reaches across: letters up to a space or an ASCII mark, and what
+# follows up to the next space; spaces; line ends. The spaces before a part belong to it.
+MARKS = r"!-@\[-`{-~"
+LETTER = r"[^\W\d_¹²³]"
+WORDS = re.compile(rf" *{LETTER}++(?=[ \n{MARKS}]|\Z)| *[^ \n]+| +|\n")
+MIXED = re.compile(rf"{LETTER}[{MARKS}]")
 UNKNOWN_PENALTY = 10.0
 REPLACEMENT = "\ufffd".encode()
 
@@ -56,8 +61,9 @@ def load_model(path: str = VOCABULARY) -> PieceModel:
     if len(byte_ids) != 256:
         raise ValueError("the vocabulary has no byte pieces, so it can't encode every text")
     pieces = [names[i] for i in ids]
-    if any(LITERAL in p or "\n" in p or START in p.lstrip(START) for p in pieces):
-        raise ValueError("a piece reaches across a word start or a line end")
+    bare = [p.lstrip(START) for p in pieces]
+    if any(LITERAL in p or "\n" in p or START in p or MIXED.search(p) for p in bare):
+        raise ValueError("a piece reaches across a word start, a line end or from a letter to a mark")
     texts = [b"" if special[i] else names[i].replace(START, " ").encode() for i in range(size)]
     for value, i in enumerate(byte_ids):
         texts[i] = bytes([value])
@@ -153,17 +159,19 @@ class _Segmenter:
         n, length, longest = ids.shape
         edge = np.append(model.scores, -np.inf)[ids]
         edge[:, :, 0] = np.where(ids[:, :, 0] < 0, model.unknown, edge[:, :, 0])
-        alpha, beta = np.zeros((n, length + 1)), np.zeros((n, length + 1))
+        # The best and the second best score of each prefix, and the last piece of the best.
+        best, second = np.zeros((n, length + 1)), np.full((n, length + 1), -np.inf)
         taken = np.zeros((n, length + 1), np.int64)
+        every = np.arange(n)
         for j in range(1, length + 1):
             m = min(j, longest)
-            ways = alpha[:, j - m : j][:, ::-1] + edge[:, j - 1, :m]
-            taken[:, j] = ways.argmax(axis=1)
-            alpha[:, j] = np.take_along_axis(ways, taken[:, j, None], 1)[:, 0]
+            ways = best[:, j - m : j][:, ::-1] + edge[:, j - 1, :m]
+            last = taken[:, j] = ways.argmax(axis=1)
+            best[:, j] = ways[every, last]
+            # Second is the best other way, or the second best way to the same piece.
+            ways[every, last] = second[every, j - 1 - last] + edge[every, j - 1, last]
+            second[:, j] = ways.max(axis=1)
         taken[:, 1:] += 1
-        for i in range(length - 1, -1, -1):
-            m = np.arange(min(length - i, longest))
-            beta[:, i] = (edge[:, i + m, m] + beta[:, i + 1 + m]).max(axis=1)
         # The best path, backwards in all words at once.
         on_path = np.zeros((n, length + 1), np.int64)
         rows, at = np.arange(n), np.full(n, length)
@@ -171,12 +179,6 @@ class _Segmenter:
             on_path[rows, at] = taken[rows, at]
             at = at - taken[rows, at]
             rows, at = rows[at > 0], at[at > 0]
-        # The second best path has an edge that the best one has not.
-        second = np.full(n, -np.inf)
-        for m in range(1, longest + 1):
-            through = alpha[:, : length + 1 - m] + edge[:, m - 1 :, m - 1] + beta[:, m:]
-            through[on_path[:, m:] == m] = -np.inf
-            second = np.maximum(second, through.max(axis=1))
         rows, ends = np.nonzero(on_path)
         found = ids[rows, ends - 1, on_path[rows, ends] - 1]
         flat = np.where(found >= 0, model.ids[found], -1)
@@ -186,8 +188,8 @@ class _Segmenter:
             times[lost] = [len(b) for b in raw]
             flat, rows = np.repeat(flat, times), np.repeat(rows, times)
             flat[flat < 0] = model.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
-        best = alpha[:, length]
-        return best, best - second, flat.astype(np.int32), np.bincount(rows, minlength=n)
+        gap = best[:, length] - second[:, length]
+        return best[:, length], gap, flat.astype(np.int32), np.bincount(rows, minlength=n)
 
 
 class _Encoder:
@@ -297,15 +299,17 @@ def decoded(docs: DataFrame, ids: Column, path: str = VOCABULARY) -> Column:
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = texts.value
-        lookup = dict(enumerate(known))
+        # The last entry stands for ids that are not in the vocabulary.
+        known = np.array([*texts.value, REPLACEMENT], object)
         for batch in batches:
             out = []
             for own in batch:
                 if own is None:
                     out.append(None)
                     continue
-                raw = b"".join([lookup.get(i, REPLACEMENT) for i in own.tolist()])
+                ids = np.where(np.isnan(own), -1, own).astype(np.int64) if own.dtype.kind == "f" else own
+                ids = np.where((ids < 0) | (ids >= len(known)), -1, ids)
+                raw = b"".join(known[ids])
                 out.append(raw[raw.startswith(b" ") :].decode(errors="replace"))
             yield pd.Series(out, dtype=object)
 

@@ -104,7 +104,7 @@ def test_decoding_unknown_ids(spark):
 def test_memory_of_words_does_not_change_results(model):
     texts = ["some words here", "other words there", "some more", "words words"]
     small, large = _Encoder(model, 3), _Encoder(model, 3)
-    small.words.numbers._limit = 1
+    small.words.numbers._limit = 1  # starts anew all the time
     for t in texts:
         a, b = small([t]), large([t])
         assert a["ids"][0].tolist() == b["ids"][0].tolist() and a["nbest"] == b["nbest"]
