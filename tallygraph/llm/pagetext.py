@@ -12,11 +12,13 @@ from dataclasses import dataclass, field
 from hashlib import blake2b
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygraph.llm.joins import join_sums
+from tallygraph.llm.lattice import values
+from tallygraph.staging import Staging
 
 # Element names of HTML by what they are to a reader.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -164,8 +166,8 @@ def _is_furniture(node: Node, in_article: bool) -> bool:
     return not in_article and (node.tag == "header" or bool(node.names and HEADER.search(node.names)))
 
 
-def _articles(root: Node, templates: frozenset[int] | set[int]) -> list[Node]:
-    """The outermost articles, or else the outermost main parts, or else the body."""
+def _articles(root: Node) -> list[Node]:
+    """The outermost articles, or else the first main part, or else the body."""
     found: dict[str, list[Node]] = {"article": [], "main": [], "body": []}
     stack = [root]
     while stack:
@@ -175,43 +177,58 @@ def _articles(root: Node, templates: frozenset[int] | set[int]) -> list[Node]:
             found[kind].append(node)
             if kind == "article":
                 continue
-        stack += [
-            p
-            for p in reversed(node.parts)
-            if isinstance(p, Node) and p.digest not in templates and not _is_furniture(p, False)
-        ]
+        stack += [p for p in reversed(node.parts) if isinstance(p, Node) and not _is_furniture(p, False)]
     if found["article"]:
         return found["article"]
     return found["main"][:1] or found["body"][:1] or [root]
 
 
-def main_text(root: Node, templates: frozenset[int] | set[int] = frozenset()) -> str:
-    """The text of the article: blocks in page order, one space between them, white space inside a
-    block turned into one space."""
-    out: list[str] = []
-    for article in _articles(root, templates):
+def text_parts(root: Node, may_go: set[int]) -> list[tuple[str, list[int]]]:
+    """The text of the article in parts, each with the hashes out of ``may_go`` of the subtrees that
+    it stands in. Blocks are in page order, one space between them, with white space inside a block
+    turned into one space; a part ends where a subtree that may go begins or ends."""
+    parts: list[tuple[list[str], tuple[int, ...]]] = []
+
+    def say(text: str, within: tuple[int, ...]) -> None:
+        if not parts or parts[-1][1] != within:
+            parts.append(([], within))
+        parts[-1][0].append(text)
+
+    for article in _articles(root):
         in_article = article.tag == "article"
-        out.append(" ")
+        above, node = [], article
+        while node is not None:
+            above += [node.digest] if node.digest in may_go else []
+            node = node.parent
         # Of a header inside the article only the headings are text.
-        stack: list[tuple[Node | str, bool]] = [(p, False) for p in reversed(article.parts)]
+        start = tuple(above)
+        say(" ", start)
+        stack: list[tuple[Node | str, bool, tuple[int, ...]]] = [(p, False, start) for p in reversed(article.parts)]
         while stack:
-            part, headings_only = stack.pop()
+            part, headings_only, within = stack.pop()
             if isinstance(part, str):
                 if not headings_only:
-                    out.append(part)
+                    say(part, within)
                 continue
-            if part.digest in templates or _is_furniture(part, in_article):
+            if _is_furniture(part, in_article):
                 continue
             if part.tag in HEADINGS:
                 headings_only = False
             elif part.tag == "header":
                 headings_only = True
-            block = part.tag not in INLINE
-            if block:
-                out.append(" ")
-                stack.append((" ", False))
-            stack += [(p, headings_only) for p in reversed(part.parts)]
-    return " ".join("".join(out).split())
+            if part.tag not in INLINE:
+                say(" ", within)
+                stack.append((" ", False, within))
+                if part.digest in may_go:
+                    within = (*within, part.digest)
+            stack += [(p, headings_only, within) for p in reversed(part.parts)]
+    joined = ((" ".join("".join(texts).split()), list(within)) for texts, within in parts)
+    return [(text, within) for text, within in joined if text]
+
+
+def main_text(root: Node, templates: set[int] | frozenset[int] = frozenset()) -> str:
+    """The text of the article without the given subtrees."""
+    return " ".join(text for text, within in text_parts(root, set(templates)) if not within)
 
 
 def candidates(root: Node, nodes: list[Node], params: PageParams) -> set[int]:
@@ -245,6 +262,37 @@ def host_of(url: Column) -> Column:
     return F.when(found != "", found).otherwise(F.coalesce(url, F.lit("")))
 
 
+def _trees(html: Column, host: Column, side: str, params: PageParams) -> Column:
+    """One side of a page: the hashes of its subtrees, or its text in parts. Hashes belong to a host,
+    so equal subtrees of different hosts differ."""
+    within = pa.list_(pa.int64())
+    types = {
+        "subtrees": (pa.int64(), within),
+        "parts": (pa.list_(pa.struct([("text", pa.string()), ("within", within)])),),
+    }
+    names = {"subtrees": ("page_text", "subtrees"), "parts": ("parts",)}[side]
+    schema = "page_text long, subtrees array<long>"
+    if side == "parts":
+        schema = "parts array<struct<text: string, within: array<long>>>"
+
+    @F.arrow_udf(schema)
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for sources, hosts in batches:
+            rows = []
+            for source, salt in zip(values(sources), values(hosts), strict=True):
+                root, nodes = parse(source)
+                found = candidates(root, nodes, params)
+                if side == "subtrees":
+                    rows.append((root.digest, [d ^ salt for d in sorted(found)]))
+                else:
+                    said = text_parts(root, found)
+                    rows.append(([{"text": t, "within": [d ^ salt for d in w]} for t, w in said],))
+            columns = zip(*rows, strict=True) if rows else [[] for _ in names]
+            yield pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types[side], strict=True)], names)
+
+    return run(html, host)
+
+
 def extract_text(
     pages: DataFrame,
     id_col: str = "page_id",
@@ -255,59 +303,46 @@ def extract_text(
     """``page_id, url, text, n_chars`` for every row.
 
     Templates are found per host, pages with equal text counting as one, so that copies of an
-    article are none. Headings and paragraphs of an ``article`` are never templates. Counting has
-    a row per subtree and host after sums in the tasks; only hashes are shuffled until the
-    templates of a page are joined to it by its id and a hash of its source. A null page is an
-    empty one: its text is empty. Rows that repeat an id and source are the same page. Other columns
-    are ignored; an empty table gives an empty result.
+    article are none. Headings and paragraphs of an ``article`` are never templates. The subtrees'
+    hashes are written once to the shared folder, a row per page; counting them sums in the tasks
+    first. The text, in parts that know the subtrees they stand in, then meets the templates of its
+    page by the page's id and a hash of its source. A null page is an empty one: its text is empty.
+    Rows that repeat an id and source are the same page. Other columns are ignored; an empty table
+    gives an empty result.
     """
-    plain = pages.select(
+    keyed = pages.select(
         F.col(id_col).alias("page_id"),
         F.col(url_col).alias("url"),
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
-    )
-    keyed = plain.withColumn("source_key", F.md5("html")).withColumn("host", host_of(F.col("url")))
-
-    @F.pandas_udf("page_text long, subtrees array<long>")
-    def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for sources in batches:
-            rows = []
-            for html in sources:
-                root, nodes = parse(html)
-                rows.append((root.digest, sorted(candidates(root, nodes, params))))
-            yield pd.DataFrame(rows, columns=["page_text", "subtrees"])
-
-    seen = (
-        keyed.select("page_id", "source_key", "host", hashed("html").alias("tree"))
-        .select("page_id", "source_key", "host", "tree.page_text", F.explode("tree.subtrees").alias("subtree"))
-        .withColumn("host_subtree", F.xxhash64("host", "subtree"))
+    ).select("*", F.xxhash64("html").alias("source_key"), F.xxhash64(host_of(F.col("url"))).alias("host"))
+    trees = Staging(pages.sparkSession).table(
+        keyed.select("page_id", "source_key", _trees(F.col("html"), F.col("host"), "subtrees", params).alias("tree")).select(
+            "page_id", "source_key", "tree.*"
+        ),
+        "subtrees",
     )
     shared = (
-        seen.groupBy("host_subtree", "page_text")
-        .agg(F.lit(1).alias("once"))
-        .groupBy("host_subtree")
+        trees.select("page_text", F.explode("subtrees").alias("subtree"))
+        .distinct()
+        .groupBy("subtree")
         .agg(F.count("*").alias("n_pages"))
         .where(F.col("n_pages") >= params.min_pages)
     )
+    seen = trees.select("page_id", "source_key", F.explode("subtrees").alias("subtree"))
     templates = (
-        join_sums(seen, shared, "host_subtree")
+        join_sums(seen, shared, "subtree")
         .groupBy(F.col("page_id").alias("own_id"), F.col("source_key").alias("own_key"))
         .agg(F.collect_set("subtree").alias("templates"))
     )
-
-    @F.pandas_udf("string")
-    def text_of(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for sources, gone in parts:
-            yield pd.Series(
-                [
-                    main_text(parse(html)[0], frozenset() if g is None else set(g.tolist()))
-                    for html, g in zip(sources, gone, strict=True)
-                ],
-                dtype=object,
-            )
-
-    marked = keyed.join(
+    texts = keyed.select(
+        "page_id", "url", "source_key", _trees(F.col("html"), F.col("host"), "parts", params)["parts"].alias("parts")
+    )
+    marked = texts.join(
         templates, F.col("page_id").eqNullSafe(F.col("own_id")) & (F.col("source_key") == F.col("own_key")), "left"
     )
-    texts = marked.select("page_id", "url", text_of("html", "templates").alias("text"))
-    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    stays = F.filter(
+        "parts",
+        lambda p: F.col("templates").isNull() | ~F.arrays_overlap(p["within"], F.col("templates")),
+    )
+    joined = marked.select("page_id", "url", F.array_join(F.transform(stays, lambda p: p["text"]), " ").alias("text"))
+    return joined.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
