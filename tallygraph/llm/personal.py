@@ -12,11 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygraph.llm.crf import ChainCRF
-from tallygraph.llm.lattice import blocks
+from tallygraph.llm.lattice import blocks, values
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BACKGROUND = "none"
@@ -286,17 +287,19 @@ def personal_spans(docs: DataFrame, text: Column, field: ChainCRF) -> Column:
     state = (field.weights, field.moves, field.first)
     shared = docs.sparkSession.sparkContext.broadcast(state)
 
-    @F.pandas_udf(SPANS)
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(SPANS)
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        names = ("kind", "start", "end", "by_pattern")
+        kinds = (pa.string(), pa.int32(), pa.int32(), pa.bool_())
+        result = pa.list_(pa.struct(list(zip(names, kinds, strict=True))))
         own = ChainCRF([BACKGROUND, *KINDS], word_shape, len(SHAPES))
         own.weights, own.moves, own.first = shared.value
         finder = _Finder(own)
         for batch in batches:
             out: list = []
-            for _, block in blocks(batch):
-                for spans in finder(block):
-                    out.append([dict(zip(("kind", "start", "end", "by_pattern"), s, strict=True)) for s in spans])
-            yield pd.Series(out, dtype=object)
+            for _, block in blocks(values(batch)):
+                out += [[dict(zip(names, s, strict=True)) for s in spans] for spans in finder(block)]
+            yield pa.array(out, result)
 
     return find(text)
 

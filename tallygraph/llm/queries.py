@@ -97,12 +97,16 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         named = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
         return F.array_join(named, ",")
 
+    def count(spans: Column, kind: str) -> Column:
+        return F.array_size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda s: s["by_pattern"])
-    counts = [
-        F.array_size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-        for kind in ("email", "ip", "card", "phone")
-    ]
-    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+    return found.select(
+        "doc_id",
+        *[count(base, kind) for kind in ("email", "ip", "card", "phone")],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
