@@ -11,11 +11,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygraph.llm.lattice import PieceTable, WordNumbers, blocks, by_length
+from tallygraph.llm.lattice import PieceTable, WordNumbers, blocks, by_length, values
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN = "und"
@@ -212,21 +213,21 @@ def language_column(
     table = PieceTable(letter_pieces(params.vocabulary))
     model = docs.sparkSession.sparkContext.broadcast((vars(table), probs))
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         state, probs = model.value
         scorer = _Scorer(PieceTable.of(state), probs, params.unknown) if languages else None
         for texts in batches:
             pred = np.full(len(texts), UNKNOWN, object)
             score = np.zeros(len(texts))
-            for first, block in blocks(texts) if languages else ():
+            for first, block in blocks(values(texts)) if languages else ():
                 logs, sizes = scorer(block)
                 known = np.flatnonzero(sizes)
                 best = logs[known].argmax(axis=1)
                 at = first + known
                 pred[at] = np.array(languages, object)[best]
                 score[at] = 1 / np.exp(logs[known] - logs[known].max(axis=1, keepdims=True)).sum(axis=1)
-            yield pd.DataFrame({"lang_pred": pred, "score": score})
+            yield pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score)], ["lang_pred", "score"])
 
     return predict(text)
 

@@ -8,6 +8,7 @@ operations, so the cost per word does not include Python's.
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -119,7 +120,7 @@ class WordNumbers:
     bounds the memory; results do not depend on it.
     """
 
-    def __init__(self, compute: Callable[[list[str]], None], reset: Callable[[], None], limit: int = 300_000):
+    def __init__(self, compute: Callable[[list[str]], None], reset: Callable[[], None], limit: int = 100_000):
         self._compute, self._reset, self._limit = compute, reset, limit
         self._numbers = _Numbers()
 
@@ -134,7 +135,13 @@ class WordNumbers:
         return found
 
 
-def blocks(texts: Iterable[str | None], chars: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
+def values(texts: pa.Array, step: int = 32) -> Iterator[str | None]:
+    """The values of an Arrow array, a few as Python strings at a time."""
+    for at in range(0, len(texts), step):
+        yield from texts.slice(at, step).to_pylist()
+
+
+def blocks(texts: Iterable[str | None], chars: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts of about so many characters together; null is empty. With each block,
     the position of its first text."""
     block: list[str] = []

@@ -10,10 +10,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallygraph.llm.lattice import values
+
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = "|»›·•"
 # Phrases of page furniture, in lower case.
@@ -139,6 +141,7 @@ RESULT = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "base_failed boolean, kept boolean, n_lines_dropped long, kept_share double, clean_text string"
 )
+ARROW = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(), "string": pa.string()}
 
 
 def quality_rules(
@@ -150,12 +153,14 @@ def quality_rules(
     no words, so ``base_failed`` is true and ``kept`` false. Repeated ids are judged row by row;
     other columns of the input are ignored. An empty table gives an empty result.
     """
-    names = [part.split()[0] for part in RESULT.split(", ")]
-
-    @F.pandas_udf(RESULT)
-    def judged(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in texts:
-            yield pd.DataFrame([judge(t, rules) for t in batch], columns=names)
+    fields = [part.split() for part in RESULT.split(", ")]
+
+    @F.arrow_udf(RESULT)
+    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            columns = zip(*(judge(t, rules) for t in values(texts)), strict=True) if len(texts) else [[]] * len(fields)
+            arrays = [pa.array(c, ARROW[kind]) for c, (_, kind) in zip(columns, fields, strict=True)]
+            yield pa.StructArray.from_arrays(arrays, [name for name, _ in fields])
 
     return docs.select(F.col(id_col).alias("doc_id"), judged(F.col(text_col)).alias("judged")).select(
         "doc_id", "judged.*"

@@ -10,13 +10,14 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from tallygraph.llm.joins import connected_components, join_sums
+from tallygraph.llm.lattice import values
 from tallygraph.staging import Staging, staging
 
 BITS = 64
@@ -54,11 +55,11 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
 def fingerprint_column(text: Column, params: SimHashParams = SimHashParams()) -> Column:
     """The fingerprint as a long with the same bits."""
 
-    @F.pandas_udf(LongType())
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(LongType())
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            found = np.fromiter((fingerprint(t, params.words, params.seed) for t in texts), np.uint64, len(texts))
-            yield pd.Series(found.view(np.int64))
+            found = (fingerprint(t, params.words, params.seed) for t in values(texts))
+            yield pa.array(np.fromiter(found, np.uint64, len(texts)).view(np.int64))
 
     return run(text)
 
