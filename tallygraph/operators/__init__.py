@@ -1,6 +1,14 @@
 """DataFrame operators. Each takes and returns DataFrames with typed columns."""
 
-from tallygraph.operators.links import links_to_edges, out_degree, page_nodes, parse_lines, parse_pages
+from tallygraph.operators.links import (
+    count_links,
+    links_to_edges,
+    out_degree,
+    page_links,
+    page_nodes,
+    parse_lines,
+    parse_pages,
+)
 from tallygraph.operators.rank import initial_ranks, pagerank, pagerank_step, rank_order, top_pages
 from tallygraph.operators.regression import fit_ols, normal_equations, normal_matrix
 from tallygraph.operators.retrieval import (
@@ -22,6 +30,7 @@ from tallygraph.operators.retrieval import (
 __all__ = [
     "Corpus",
     "corpus_size",
+    "count_links",
     "describe_corpus",
     "document_frequency",
     "fit_ols",
@@ -32,6 +41,7 @@ __all__ = [
     "normal_equations",
     "normal_matrix",
     "out_degree",
+    "page_links",
     "page_nodes",
     "pagerank",
     "pagerank_step",

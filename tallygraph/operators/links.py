@@ -24,6 +24,16 @@ def parse_pages(lines: DataFrame, line_col: str = "value") -> DataFrame:
     return parse_lines(lines.where(F.col(line_col) != ""), line_col)
 
 
+def page_links(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """``(title, link)``, one row per link of the non-blank lines.
+
+    The links are exploded where they are parsed. Exploding a named column of them instead would
+    make Spark parse them again in a filter on their number.
+    """
+    line = F.col(line_col)
+    return lines.where(line != "").select(page_title(line).alias("title"), F.explode(wiki_links(line)).alias("link"))
+
+
 def page_nodes(pages: DataFrame) -> DataFrame:
     """``(id)``: the distinct titles."""
     return pages.where(F.col("title").isNotNull()).select(F.col("title").alias("id")).distinct()
@@ -35,8 +45,13 @@ def links_to_edges(pages: DataFrame) -> DataFrame:
     Links of equal titles are pooled, repeated links counted, links to unknown
     pages and to the page itself kept.
     """
-    links = pages.select(F.col("title").alias("src"), F.explode("links").alias("dst"))
-    return links.groupBy("src", "dst").agg(F.count("*").alias("multiplicity"))
+    return count_links(pages.select("title", F.explode("links").alias("link")))
+
+
+def count_links(links: DataFrame) -> DataFrame:
+    """``links_to_edges`` for the rows of ``page_links``."""
+    ends = links.select(F.col("title").alias("src"), F.col("link").alias("dst"))
+    return ends.groupBy("src", "dst").agg(F.count("*").alias("multiplicity"))
 
 
 def out_degree(edges: DataFrame) -> DataFrame:

@@ -11,16 +11,6 @@ from pyspark.sql import functions as F
 
 INTERCEPT = "intercept"
 
-# Rows averaged for a first guess of the column means. The sums are taken around it
-# because sums of large like-signed products lose digits; the coefficients are those
-# of all rows whatever the guess.
-CENTRE_ROWS = 1_000
-
-# Above this condition number of the scaled matrix the guess was too far off, and the
-# sums are taken again around the true means.
-MAX_CONDITION = 1e10
-
-
 # Beyond this many terms the sums would be too many columns for whole-stage code
 # generation, and multiplying Arrow batches as matrices is several times faster.
 MAX_SUM_TERMS = 12
@@ -158,23 +148,22 @@ def _solve(A: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.linalg.solve(scaled, b / scale) / scale
 
 
-def _guess_centres(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+def _means(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """Means over all rows. Sums taken around them keep the digits that sums of large
+    like-signed products lose."""
     averages = [F.avg(F.col(name).cast("double")).alias(name) for name in columns]
-    row = df.select(*columns).limit(CENTRE_ROWS).agg(*averages).first()
+    row = df.agg(*averages).first()
     return {name: row[name] if row[name] is not None and np.isfinite(row[name]) else 0.0 for name in columns}
 
 
 def coefficients(df: DataFrame, y: str, xs: Sequence[str]) -> dict[str, float]:
-    """Intercept and slopes by term, in one pass over the table."""
+    """Intercept and slopes by term, in two passes over the table: the means of its columns,
+    then the sums around them. The order of the rows does not matter."""
     _check(y, xs)
-    centres = _guess_centres(df, [y, *xs])
+    centres = _means(df, [y, *xs])
     equations = normal_equations(df, y, xs, centres)
     if not (np.isfinite(equations.A).all() and np.isfinite(equations.b).all()):
         raise ValueError("the columns hold values that are not finite")
-    if np.linalg.cond(_scaled(equations.A)[0]) > MAX_CONDITION:
-        offsets = dict(zip([*xs, y], [*equations.A[0, 1:], equations.b[0]], strict=True))
-        centres = {name: centres[name] + float(offsets[name]) / equations.rows for name in centres}
-        equations = normal_equations(df, y, xs, centres)
     beta = _solve(equations.A, equations.b)
     slopes = dict(zip(xs, beta[1:].tolist(), strict=True))
     intercept = centres[y] + beta[0] - sum(slopes[x] * centres[x] for x in xs)

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygraph.operators import (
-    Corpus,
-    describe_corpus,
+    corpus_size,
     search_counts,
     tfidf,
     tokenize,
@@ -21,28 +20,30 @@ MAX_SUBSTRING_TERMS = 50
 
 
 def count_words(
-    docs: DataFrame, corpus: Corpus | None = None, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, one_row_per_doc: bool = False, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``(word, doc_id, n)``, without a shuffle if every document is a single row.
-
-    That is checked by counting the ids unless ``corpus`` tells it.
-    """
-    corpus = corpus or describe_corpus(docs, id_col)
-    if corpus.one_row_per_doc:
+    """``(word, doc_id, n)``, without a shuffle if the caller knows that ids are unique."""
+    if one_row_per_doc:
         return word_count_of_rows(docs, id_col, text_col)
     return word_count(tokenize(docs, id_col, text_col))
 
 
 def score_documents(
-    docs: DataFrame, n_docs: int | None = None, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    n_docs: int | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    one_row_per_doc: bool = False,
 ) -> DataFrame:
     """``(word, doc_id, tfidf)`` of a corpus.
 
     ``n_docs`` saves the pass that counts the documents, or sets another number, such
-    as the files of a folder with empty ones among them.
+    as the files of a folder with empty ones among them. ``one_row_per_doc`` saves a shuffle
+    where ids are known to be unique.
     """
-    corpus = describe_corpus(docs, id_col) if n_docs is None else Corpus(n_docs, one_row_per_doc=False)
-    return tfidf(count_words(docs, corpus, id_col, text_col), corpus.n_docs)
+    if n_docs is None:
+        n_docs = corpus_size(docs, id_col)
+    return tfidf(count_words(docs, one_row_per_doc, id_col, text_col), n_docs)
 
 
 def search_documents(
@@ -59,7 +60,7 @@ def search_documents(
     to see than its words: only the texts that pass this test are tokenised.
     """
     if n_docs is None:
-        n_docs = describe_corpus(docs, id_col).n_docs
+        n_docs = corpus_size(docs, id_col)
     keys = query_terms(terms)
     if len(keys) <= MAX_SUBSTRING_TERMS:
         lowered = F.lower(F.col(text_col))

@@ -7,6 +7,10 @@ def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     return table.select(*columns) if columns else table
 
 
+# A table of fewer pieces is small, as a piece has ``spark.sql.files.maxPartitionBytes`` at most.
+MAX_PIECES = 8
+
+
 def spread_small(df: DataFrame) -> DataFrame:
     """Spread a table whose files split into fewer pieces than there are cores.
 
@@ -14,4 +18,4 @@ def spread_small(df: DataFrame) -> DataFrame:
     or row groups passes unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, MAX_PIECES) else df

@@ -225,8 +225,8 @@ ORACLES: dict[str, str] = {
     "pagerank_10": steps(f"{BASKET_EDGES}, {PART_NODES}", 10),
     "pagerank_top100": steps(f"{BASKET_EDGES}, {PART_NODES}", 10, "ORDER BY round(rank, 6) DESC, id LIMIT 100"),
     "wiki_pagerank": steps(WIKI_GRAPH, 10),
-    "wiki_pagerank_ranked": steps(WIKI_GRAPH, 3, "ORDER BY round(rank, 6) DESC, id"),
-    "wiki_pagerank_text_files": steps(WIKI_GRAPH, 2),
+    "wiki_pagerank_ranked": steps(WIKI_GRAPH, 10, "ORDER BY round(rank, 6) DESC, id"),
+    "wiki_pagerank_text_files": steps(WIKI_GRAPH, 10),
     "normal_matrix": normal_cells(),
     "ols_simple": least_squares(FEATURES[:1]),
     "ols_two_features": least_squares(FEATURES[:2]),

@@ -70,7 +70,7 @@ def tokenize(spark, sf_dir):
 
 @query
 def doc_word_count(spark, sf_dir):
-    return count_words(documents(spark, sf_dir))
+    return count_words(documents(spark, sf_dir), one_row_per_doc=True)
 
 
 @query
@@ -80,25 +80,24 @@ def conversation_word_count(spark, sf_dir):
 
 @query
 def term_frequency(spark, sf_dir):
-    return op.term_frequency(count_words(documents(spark, sf_dir))).select("word", "doc_id", rounded("tf"))
+    return op.term_frequency(count_words(documents(spark, sf_dir), one_row_per_doc=True)).select("word", "doc_id", rounded("tf"))
 
 
 @query
 def document_frequency(spark, sf_dir):
-    return op.document_frequency(count_words(documents(spark, sf_dir)))
+    return op.document_frequency(count_words(documents(spark, sf_dir), one_row_per_doc=True))
 
 
 @query
 def inverse_document_frequency(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    corpus = op.describe_corpus(docs)
-    frequencies = op.document_frequency(count_words(docs, corpus))
-    return op.inverse_frequency(frequencies, corpus.n_docs).select("word", "df", rounded("idf"))
+    frequencies = op.document_frequency(count_words(docs, one_row_per_doc=True))
+    return op.inverse_frequency(frequencies, op.corpus_size(docs)).select("word", "df", rounded("idf"))
 
 
 @query
 def tfidf(spark, sf_dir):
-    return score_documents(documents(spark, sf_dir)).select("word", "doc_id", rounded("tfidf"))
+    return score_documents(documents(spark, sf_dir), one_row_per_doc=True).select("word", "doc_id", rounded("tfidf"))
 
 
 @query
@@ -130,7 +129,7 @@ def search_top(spark, sf_dir):
 def search_term_table(spark, sf_dir):
     """The terms are the words of another table."""
     terms = op.tokenize(table(spark, sf_dir, "benchmark", "item_id", "text"), "item_id")
-    hits = op.search(score_documents(documents(spark, sf_dir)), terms.select(F.upper("word").alias("term")))
+    hits = op.search(score_documents(documents(spark, sf_dir), one_row_per_doc=True), terms.select(F.upper("word").alias("term")))
     return hits.select("doc_id", rounded("score"))
 
 
@@ -139,7 +138,7 @@ def search_stored_scores(spark, sf_dir):
     """Scores written to a table once, then searched there."""
     checkpoint_root(spark)
     with staging(spark) as area:
-        write_scores(score_documents(documents(spark, sf_dir)), area.path("scores"))
+        write_scores(score_documents(documents(spark, sf_dir), one_row_per_doc=True), area.path("scores"))
         hits = op.search(read_scores(spark, area.path("scores"), "bigint"), ["les", "und", "that"])
         return hits.select("doc_id", rounded("score")).checkpoint()
 
@@ -160,8 +159,7 @@ def line_count(spark, sf_dir):
 
 @query
 def page_links(spark, sf_dir):
-    pages = op.parse_pages(wiki_lines(spark, sf_dir))
-    return pages.select("title", F.explode("links").alias("link"))
+    return op.page_links(wiki_lines(spark, sf_dir))
 
 
 @query
@@ -171,12 +169,12 @@ def page_nodes(spark, sf_dir):
 
 @query
 def link_edges(spark, sf_dir):
-    return op.links_to_edges(op.parse_pages(wiki_lines(spark, sf_dir)))
+    return op.count_links(op.page_links(wiki_lines(spark, sf_dir)))
 
 
 @query
 def link_out_degree(spark, sf_dir):
-    return op.out_degree(op.links_to_edges(op.parse_pages(wiki_lines(spark, sf_dir))))
+    return op.out_degree(op.count_links(op.page_links(wiki_lines(spark, sf_dir))))
 
 
 @query
@@ -230,17 +228,20 @@ def wiki_pagerank(spark, sf_dir):
 
 @query
 def wiki_pagerank_ranked(spark, sf_dir):
-    return op.rank_order(rounded_ranks(rank_lines(wiki_lines(spark, sf_dir), iterations=3)))
+    return op.rank_order(rounded_ranks(rank_lines(wiki_lines(spark, sf_dir))))
 
 
 @query
 def wiki_pagerank_text_files(spark, sf_dir):
-    """Text in, text out: the dump is read from files and the ranking written to files."""
+    """Text in, text out: the dump is read from two folders and the ranking written to files."""
     checkpoint_root(spark)
     with staging(spark) as area:
-        write_tsv(wiki_lines(spark, sf_dir), area.path("dump"))
-        lines = read_lines(spark, area.path("dump"))
-        write_ranked(rank_lines(lines, iterations=2), area.path("ranked"))
+        lines = wiki_lines(spark, sf_dir)
+        linking = F.contains("value", F.lit("[["))
+        write_tsv(lines.where(linking), area.path("linking"))
+        write_tsv(lines.where(~linking), area.path("others"))
+        both = read_lines(spark, f"{area.path('linking')},{area.path('others')}")
+        write_ranked(rank_lines(both), area.path("ranked"))
         return rounded_ranks(read_ranked(spark, area.path("ranked"))).checkpoint()
 
 
