@@ -41,11 +41,12 @@ def run_tf(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_tfidf(spark: SparkSession, args: argparse.Namespace) -> None:
     """Counts and frequencies are stored together, so the text is read once."""
+    n_docs = count_files(spark, args.input)
     counts = word_count(tokenize(read_documents(spark, args.input)))
     frequency = log_term_frequency(counts["n"]).alias("tf")
     counts.select("word", "doc_id", "n", frequency).write.parquet(args.tf_output)
     stored = spark.read.parquet(args.tf_output).select("word", "doc_id", "n")
-    write_scores(tfidf(stored, count_files(spark, args.input)), args.output)
+    write_scores(tfidf(stored, n_docs), args.output)
 
 
 def run_search(spark: SparkSession, args: argparse.Namespace) -> None:

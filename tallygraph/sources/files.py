@@ -30,13 +30,32 @@ def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return lines.select(trim_controls(name).alias("doc_id"), F.col("value").alias("text"))
 
 
-def count_files(spark: SparkSession, folder: str) -> int:
-    """Files directly in ``folder``, empty and hidden ones included.
+def count_files(spark: SparkSession, paths: str | list[str]) -> int:
+    """Files directly in the folders, empty and hidden ones included; a path may be a pattern
+    or a single file.
 
     A listing only. The readers skip empty and hidden files, so this is the corpus
-    size when such files are to count as documents.
+    size when such files are to count as documents. A folder without subfolders is one call,
+    whatever the number of its files.
     """
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    file_system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sum(1 for status in file_system.listStatus(path) if status.isFile())
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def files_in(file_system, path) -> int:
+        summary = file_system.getContentSummary(path)
+        if summary.getDirectoryCount() <= 1:
+            return summary.getFileCount()
+        entries, count = file_system.listStatusIterator(path), 0
+        while entries.hasNext():
+            count += entries.next().isFile()
+        return count
+
+    total = 0
+    for name in split_paths(paths):
+        pattern = jvm.org.apache.hadoop.fs.Path(name)
+        file_system = pattern.getFileSystem(conf)
+        matches = file_system.globStatus(pattern)
+        if not matches:
+            raise FileNotFoundError(name)
+        total += sum(files_in(file_system, match.getPath()) for match in matches)
+    return total
