@@ -1,19 +1,20 @@
 """PageRank with a fixed number of steps, and ranking."""
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from tallygraph.operators.skew import (
     HEAVY_ROWS,
     heavy_keys,
+    join_salted,
     join_split,
     join_spread,
-    salt_of,
+    key_salts,
     shuffle_partitions,
 )
-from tallygraph.staging import Staging, checkpoint_root, staging
+from tallygraph.staging import Staging, checkpoint_root, drop_checkpoint, staging
 
 # Fixed values of the ranking model.
 DAMPING = 0.85
@@ -49,29 +50,23 @@ def pagerank_step(
     nodes: DataFrame,
     edges: DataFrame,
     damping: float = DAMPING,
-    salts: int | None = None,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """One step on plain tables: ``(id, rank)`` to ``(id, rank)``, in one lazy plan.
 
     Every page splits its rank evenly over its links. Shares for unknown pages are
     lost, and so is the rank of pages without links; ranks are not divided by N.
-    The links of a page are spread over ``(src, salt)``, so one page may hold a
-    large part of them.
+    The links of a page with very many of them are split over salts.
     """
-    salts = salts or shuffle_partitions(edges.sparkSession)
     # The null checks of both joins are made here, and ``dst`` is read in the sums, so
-    # that the two branches scan the same columns and rows and share one shuffle.
+    # that the two branches scan the same columns and rows.
     links = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    links = links.withColumn("salt", salt_of("dst", salts)).repartition("src", "salt")
-    linked = F.sum(F.when(F.col("dst").isNotNull(), F.col("multiplicity")))
-    per_salt = links.groupBy("src", "salt").agg(linked.alias("degree_of_salt"))
-    degree = per_salt.select(
-        "src", "salt", F.sum("degree_of_salt").over(Window.partitionBy("src")).alias("out_degree")
-    )
+    out_degree = F.sum(F.when(F.col("dst").isNotNull(), F.col("multiplicity"))).alias("out_degree")
+    degree = key_salts(links.groupBy("src").agg(out_degree, F.count("*").alias("targets")), "targets", heavy_rows)
     shares = degree.join(ranks, F.col("src") == F.col("id")).select(
-        "src", "salt", (F.col("rank") / F.col("out_degree")).alias("share")
+        "src", "salts", (F.col("rank") / F.col("out_degree")).alias("share")
     )
-    contributions = _received(links.join(shares, ["src", "salt"]))
+    contributions = _received(join_salted(links, shares, degree, "src", "dst"))
     return _next_ranks(nodes.select("id").distinct(), contributions, damping, "id")
 
 
@@ -99,21 +94,25 @@ def _lay_out(
     nodes = area.table(nodes.select("id").distinct().withColumn("page", page), "nodes")
     ends = [F.col(end) if named else F.col(end).cast("bigint").alias(end) for end in ("src", "dst")]
     edges = area.table(edges.select(*ends, "multiplicity"), "edges")
+    total = edges.count()
     degree = edges.groupBy(F.col("src").alias("id")).agg(
         F.sum("multiplicity").alias("out_degree"), F.count("*").alias("targets")
     )
-    heavy, limit = heavy_keys(degree, "targets", edges.count(), heavy_rows)
+    # Stored, as the maximum, the heavy pages and the page table all read it.
+    degree = area.table(degree, "degree")
+    heavy, limit = heavy_keys(degree, "targets", total, heavy_rows)
     salts = F.ceil(F.col("targets") / F.lit(limit)).cast("int").alias("salts")
     pages = nodes.join(degree, "id", "left").select("page", "id", "out_degree", salts)
 
     if named:
         heavy_src = None if heavy is None else heavy.select(F.col("id").alias("src"))
-        known = join_spread(edges, nodes.toDF("dst", "dst_page"), "dst", "inner", heavy_rows)
+        known = join_spread(edges, nodes.toDF("dst", "dst_page"), "dst", "inner", heavy_rows, total)
         links = join_split(known, nodes.toDF("src", "src_page"), "src", "inner", heavy_src).select(
             F.col("src_page").alias("src"), F.col("dst_page").alias("dst"), "multiplicity"
         )
     else:
-        links = join_spread(edges, nodes.select(F.col("page").alias("dst")), "dst", "left_semi", heavy_rows)
+        known = nodes.select(F.col("page").alias("dst"))
+        links = join_spread(edges, known, "dst", "left_semi", heavy_rows, total)
     keys = ["src"]
     if heavy is not None:
         hubs = nodes.join(F.broadcast(heavy.select("id", salts)), "id")
@@ -166,11 +165,18 @@ def pagerank(
         pages, links, salted = _lay_out(nodes, edges, area, heavy_rows)
         try:
             ranks = initial_ranks(pages, pages.count() if n is None else n)
+            stored = None
             for step in range(1, iterations + 1):
                 ranks = _next_ranks(pages, _spread_shares(ranks, links, salted), damping)
                 if step % STEPS_PER_CHECKPOINT == 0 and step < iterations:
-                    ranks = ranks.drop("id").checkpoint()
-            return ranks.select("id", "rank").checkpoint()
+                    ranks, before = ranks.drop("id").checkpoint(), stored
+                    if before is not None:
+                        drop_checkpoint(before)
+                    stored = ranks
+            result = ranks.select("id", "rank").checkpoint()
+            if stored is not None:
+                drop_checkpoint(stored)
+            return result
         finally:
             links.unpersist()
             pages.unpersist()

@@ -3,11 +3,11 @@
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygraph.functions import inverse_document_frequency, log_term_frequency, plain_words
-from tallygraph.operators.skew import salt_of, join_spread, shuffle_partitions
+from tallygraph.operators.skew import HEAVY_ROWS, join_salted, join_spread, key_salts
 
 # Term lists up to this length travel as literals or a broadcast; longer ones are shuffled.
 SMALL_TERM_LIST = 10_000
@@ -89,25 +89,19 @@ def inverse_frequency(frequencies: DataFrame, n_docs: int) -> DataFrame:
     return frequencies.withColumn("idf", inverse_document_frequency(n_docs, F.col("df")))
 
 
-def tfidf(counts: DataFrame, n_docs: int, salts: int | None = None) -> DataFrame:
+def tfidf(counts: DataFrame, n_docs: int, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """``(word, doc_id, tfidf)``.
 
-    A stop word has one posting per document, so joining on the word alone would
-    send a large part of all postings to one task. The postings are partitioned by
-    ``(word, salt)``, the document frequency is counted per ``(word, salt)``, summed
-    over the at most ``salts`` rows of each word, and joined back on both columns.
+    Document frequencies are combined before their shuffle, one row per word and task. They
+    tell which words have so many postings that one task could not take them; only those are
+    salted, all others join on the word as it is. The postings move once at most.
     """
-    salts = salts or shuffle_partitions(counts.sparkSession)
-    postings = counts.withColumn("salt", salt_of("doc_id", salts)).repartition("word", "salt")
-    # Counting through ``n`` and ``doc_id`` leaves no column to prune, so this branch
-    # reads the shuffle of the postings and the corpus is tokenised once.
-    documents = F.count_if((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    per_salt = postings.groupBy("word", "salt").agg(documents.alias("df_of_salt"))
-    frequency = per_salt.select(
-        "word", "salt", F.sum("df_of_salt").over(Window.partitionBy("word")).alias("df")
-    )
+    # The join's own null check, made for all branches, so that they share one shuffle.
+    counts = counts.where(F.col("word").isNotNull())
+    frequency = key_salts(document_frequency(counts), "df", heavy_rows)
+    scored = join_salted(counts, frequency, frequency, "word", "doc_id")
     score = log_term_frequency(F.col("n")) * inverse_document_frequency(n_docs, F.col("df"))
-    return postings.join(frequency, ["word", "salt"]).select("word", "doc_id", score.alias("tfidf"))
+    return scored.select("word", "doc_id", score.alias("tfidf"))
 
 
 def query_terms(terms: Iterable[str]) -> list[str]:

@@ -1,16 +1,16 @@
 """Spreading hot keys.
 
+A key is heavy when it alone outweighs an average shuffle partition, so there are
+always fewer heavy keys than shuffle partitions and a table of them can be broadcast.
 Two exact ways, neither drops nor caps a row:
 
-* ``salt_of`` + a grouping by ``(key, salt)`` when the small side is an aggregate
-  of the big one (see ``tfidf``): no statistics and no broadcast are needed.
-* ``heavy_keys`` when the big side is a stored table. A key is heavy when it alone
-  outweighs an average shuffle partition, so there are always fewer heavy keys than
-  shuffle partitions and their slice of the small side can be broadcast. What is
-  left has no hot key and takes an ordinary shuffled join.
+* ``key_salts`` + ``join_salted`` when the small side knows the number of rows of each
+  key: one lazy plan in which only the rows of heavy keys get a salt.
+* ``heavy_keys`` + ``join_split`` when the big side is a stored table: the heavy keys
+  are joined by broadcast, what is left takes an ordinary shuffled join.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Below this many rows one task copes with a key, whatever its share.
@@ -21,13 +21,29 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def salt_of(spread_by: str | Column, salts: int) -> Column:
-    """Stable salt in ``[0, salts)``; a recomputed task gives the same one.
+def key_salts(sizes: DataFrame, rows: str, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """``sizes`` (one row per key) with ``salts``, the number of parts its key is split into.
 
-    ``coalesce`` marks it as never null. Otherwise a join on it would push a null
-    check into one branch of a shared plan, and the shuffle below could not be reused.
+    A part has the average number of rows of a shuffle partition, but at least ``heavy_rows``.
+    The sum over all keys is a subquery, so nothing runs here.
     """
-    return F.coalesce(F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"), F.lit(0))
+    total = sizes.agg(F.sum(rows)).scalar()
+    limit = F.greatest(F.lit(heavy_rows), total / F.lit(shuffle_partitions(sizes.sparkSession)))
+    return sizes.withColumn("salts", F.greatest(F.lit(1), F.ceil(F.col(rows) / limit)).cast("int"))
+
+
+def join_salted(big: DataFrame, small: DataFrame, sizes: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """Inner join on ``key`` in which heavy keys are split by a hash of ``spread_by``.
+
+    ``sizes`` comes from ``key_salts``; ``small`` has unique keys and its ``salts``. The big side
+    is shuffled once, and not at all where the planner finds the small one short enough to
+    broadcast. A recomputed task gives the same salts.
+    """
+    heavy = sizes.where(F.col("salts") > 1).select(key, "salts")
+    salt = F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("salts")).cast("int"), F.lit(0))
+    salted = big.join(F.broadcast(heavy), key, "left").withColumn("salt", salt).drop("salts")
+    every_salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    return salted.join(small.select("*", every_salt).drop("salts"), [key, "salt"]).drop("salt")
 
 
 def heavy_keys(
@@ -61,13 +77,18 @@ def join_split(
 
 
 def join_spread(
-    big: DataFrame, small: DataFrame, key: str, how: str = "inner", heavy_rows: int = HEAVY_ROWS
+    big: DataFrame,
+    small: DataFrame,
+    key: str,
+    how: str = "inner",
+    heavy_rows: int = HEAVY_ROWS,
+    total: int | None = None,
 ) -> DataFrame:
     """``join_split`` that finds the heavy keys itself.
 
-    ``big`` should be a stored table: it is counted, read for the key sizes, and
-    read once per branch.
+    ``big`` should be a stored table: it is counted if its size ``total`` is not given, read
+    for the key sizes, and read once per branch.
     """
     sizes = big.groupBy(key).agg(F.count("*").alias("rows_of_key"))
-    heavy, _ = heavy_keys(sizes, "rows_of_key", big.count(), heavy_rows)
+    heavy, _ = heavy_keys(sizes, "rows_of_key", big.count() if total is None else total, heavy_rows)
     return join_split(big, small, key, how, None if heavy is None else heavy.select(key))

@@ -43,7 +43,12 @@ def score_documents(
     """
     if n_docs is None:
         n_docs = corpus_size(docs, id_col)
-    return tfidf(count_words(docs, one_row_per_doc, id_col, text_col), n_docs)
+    counts = count_words(docs, one_row_per_doc, id_col, text_col)
+    if one_row_per_doc:
+        # Postings move evenly, once, and both the frequencies and the scores read them there.
+        # Without this the texts would be tokenised for each.
+        counts = counts.repartition("word", "doc_id")
+    return tfidf(counts, n_docs)
 
 
 def search_documents(

@@ -25,6 +25,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_checkpoint(df: DataFrame) -> None:
+    """Delete the files of a checkpointed table that nothing reads any more.
+
+    Spark keeps them for ever unless told otherwise when the session starts.
+    """
+    folder = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if folder.isDefined():
+        _delete(df.sparkSession, folder.get())
+
+
 class Staging:
     def __init__(self, spark: SparkSession):
         self._spark = spark
@@ -40,10 +55,7 @@ class Staging:
         return self._spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self) -> None:
-        jvm = self._spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.root)
-        conf = self._spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(conf).delete(folder, True)
+        _delete(self._spark, self.root)
 
 
 @contextmanager

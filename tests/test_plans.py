@@ -1,6 +1,7 @@
 """What the plans must look like for large tables."""
 
 import re
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from tallygraph.operators import (
     word_count_of_rows,
 )
 from tallygraph.operators import rank
+from tallygraph.operators.skew import key_salts
+from tallygraph.plans import retrieval as plans
 from tallygraph.sources import read_scores, write_scores
 from tallygraph.staging import staging
 from tallygraph.workload.inputs import basket_edges, parts
@@ -47,25 +50,47 @@ def without_cached_subtrees(plan):
     return "\n".join(kept)
 
 
+def without_initial_plans(plan):
+    """A subquery shows its initial plan below its final one."""
+    kept, skip = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        if skip is not None and depth >= skip:
+            continue
+        skip = depth if "== Initial Plan ==" in line else None
+        if skip is None:
+            kept.append(line)
+    return "\n".join(kept)
+
+
 def exchanges(plan):
     return re.findall(r"\+- Exchange (\w+\([^)]*\))", plan)
 
 
-@pytest.mark.parametrize("counting", [word_count_of_rows, lambda docs: word_count(tokenize(docs))])
-def test_tfidf_tokenizes_once(docs, executed_plan, no_broadcast, counting):
-    plan = executed_plan(tfidf(counting(docs), 200))
-    assert plan.count("Generate explode") == 1
+@pytest.mark.parametrize("one_row_per_doc", [True, False])
+@pytest.mark.parametrize("heavy_rows", [1, 1_000_000])
+def test_tfidf_tokenizes_once(spark, docs, executed_plan, no_broadcast, one_row_per_doc, heavy_rows, monkeypatch):
+    monkeypatch.setattr(plans, "tfidf", partial(tfidf, heavy_rows=heavy_rows))
+    one_word = spark.range(9000).selectExpr("id + 1000000 AS doc_id", "'the' AS text")
+    hot = docs.select("doc_id", "text").unionByName(one_word)
+    scores = plans.score_documents(hot, 9200, one_row_per_doc=one_row_per_doc)
+    plan = without_initial_plans(executed_plan(scores))
     assert plan.count("FileScan") == 1
-    assert "ReusedExchange" in plan
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert sum("doc_id" in keys for keys in exchanges(plan)) == 1
+    # Both sides of the join, of which the words are short.
+    assert sum("salt" in keys for keys in exchanges(plan)) == 2
+    assert "Window" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    # Only heavy words are set apart.
+    assert ("BroadcastHashJoin [word" in plan) == (heavy_rows == 1)
 
 
-def test_tfidf_of_single_row_documents_shuffles_the_postings_once(docs, executed_plan, no_broadcast):
-    plan = executed_plan(tfidf(word_count_of_rows(docs), 200))
-    with_doc = [keys for keys in exchanges(plan) if "doc_id" in keys]
-    assert not with_doc
-    assert sum("word" in keys and "salt" in keys for keys in exchanges(plan)) == 2
-    assert sum("word" in keys and "salt" not in keys for keys in exchanges(plan)) == 1
+def test_only_heavy_keys_get_salts(spark):
+    sizes = spark.createDataFrame([("the", 800), ("a", 150), ("b", 50)], "word string, df long")
+    salts = {row["word"]: row["salts"] for row in key_salts(sizes, "df", 1).collect()}
+    # The average partition of eight holds 125 rows.
+    assert salts == {"the": 7, "a": 2, "b": 1}
+    assert {row["salts"] for row in key_salts(sizes, "df", 1000).collect()} == {1}
+    assert key_salts(sizes.limit(0), "df").count() == 0
 
 
 def test_counting_single_row_documents_does_not_shuffle(docs, executed_plan):
@@ -98,13 +123,21 @@ def test_document_frequency_needs_no_second_scan(docs, executed_plan, no_broadca
     assert plan.count("FileScan") == 1
 
 
-def test_pagerank_step_shuffles_the_links_once(spark, executed_plan, no_broadcast, tmp_path):
+@pytest.mark.parametrize("heavy_rows", [1, 1_000_000])
+def test_pagerank_step_shuffles_the_links_once(spark, executed_plan, no_broadcast, tmp_path, heavy_rows):
     basket_edges(spark, SMALL).write.parquet(str(tmp_path / "edges"))
     edges = spark.read.parquet(str(tmp_path / "edges"))
     nodes = parts(spark, SMALL)
-    plan = executed_plan(pagerank_step(nodes.withColumn("rank", F.lit(0.1)), nodes, edges))
-    assert len(re.findall(r"FileScan[^\n]*ReadSchema: struct<[^>\n]*multiplicity", plan)) == 1
-    assert "ReusedExchange" in plan
+    hub = edges.unionByName(spark.range(9000).selectExpr("1L AS src", "id AS dst", "1L AS multiplicity"))
+    hub.write.parquet(str(tmp_path / "hub"))
+    edges = spark.read.parquet(str(tmp_path / "hub"))
+    step = pagerank_step(nodes.withColumn("rank", F.lit(0.1)), nodes, edges, heavy_rows=heavy_rows)
+    plan = without_initial_plans(executed_plan(step))
+    # The degrees and the links themselves; only the latter are shuffled row by row.
+    assert len(re.findall(r"FileScan[^\n]*ReadSchema: struct<[^>\n]*multiplicity", plan)) == 2
+    assert sum("salt" in keys for keys in exchanges(plan)) == 2
+    assert "Window" not in plan
+    assert ("BroadcastHashJoin [src" in plan) == (heavy_rows == 1)
 
 
 @pytest.mark.parametrize("heavy_rows", [1_000_000, 1])

@@ -1,5 +1,6 @@
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from tallygraph.operators import initial_ranks, out_degree, pagerank, pagerank_step, rank_order, top_pages
 from tallygraph.operators.skew import join_spread
 from tallygraph.plans import rank_lines
+from tallygraph.staging import checkpoint_root, drop_checkpoint
 
 
 def brute_pagerank(nodes, links, n, steps, damping=0.85):
@@ -65,12 +67,12 @@ def test_other_start_and_damping(hub):
     assert found == pytest.approx(brute_pagerank(nodes, links, 12345, 3, 0.5), rel=1e-12)
 
 
-@pytest.mark.parametrize("salts", [None, 1, 5])
-def test_single_steps_make_the_loop(hub, salts):
+@pytest.mark.parametrize("heavy_rows", [1, 10, 1_000_000])
+def test_single_steps_make_the_loop(hub, heavy_rows):
     nodes, edges = hub
     ranks = initial_ranks(nodes, 60)
     for _ in range(2):
-        ranks = pagerank_step(ranks, nodes, edges, salts=salts)
+        ranks = pagerank_step(ranks, nodes, edges, heavy_rows=heavy_rows)
     plain_nodes, links = hub_graph()
     assert ranks_of(ranks) == pytest.approx(brute_pagerank(plain_nodes, links, 60, 2), rel=1e-12)
 
@@ -153,3 +155,14 @@ def test_join_spread(spark, rows, heavy_rows):
 def test_negative_iterations(hub):
     with pytest.raises(ValueError):
         pagerank(*hub, iterations=-1)
+
+
+@pytest.mark.parametrize("steps", [2, 10])
+def test_only_the_result_stays_in_the_checkpoint_folder(spark, hub, steps):
+    root = Path(checkpoint_root(spark))
+    before = set(root.rglob("rdd-*")) | set(root.glob("staged-*"))
+    ranks = pagerank(*hub, iterations=steps)
+    left = (set(root.rglob("rdd-*")) | set(root.glob("staged-*"))) - before
+    assert len(left) == 1 and ranks.count() == 60
+    drop_checkpoint(ranks)
+    assert not any(folder.exists() for folder in left)

@@ -111,10 +111,16 @@ def test_document_and_inverse_frequency(docs):
     assert all(r.idf > 0 for r in inverse)
 
 
-@pytest.mark.parametrize("salts", [None, 1, 3, 100])
-def test_tfidf(docs, split_docs, salts):
+@pytest.mark.parametrize("heavy_rows", [1, 10, 1_000_000])
+def test_tfidf(docs, split_docs, heavy_rows):
     for source in (docs, split_docs):
-        assert as_dict(tfidf(count_words(source), len(TEXTS), salts), "tfidf") == pytest.approx(brute_scores())
+        scores = tfidf(count_words(source), len(TEXTS), heavy_rows)
+        assert as_dict(scores, "tfidf") == pytest.approx(brute_scores())
+        assert scores.count() == len(brute_scores())
+
+
+def test_single_row_documents_score_alike(docs):
+    assert as_dict(score_documents(docs, one_row_per_doc=True), "tfidf") == pytest.approx(brute_scores())
 
 
 def test_pipeline_takes_another_corpus_size(docs):
