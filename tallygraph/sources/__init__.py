@@ -3,6 +3,7 @@
 from tallygraph.sources.files import count_files, read_documents, read_lines, split_paths
 from tallygraph.sources.numeric import numeric_columns, read_numeric_csv
 from tallygraph.sources.sinks import (
+    read_betas,
     read_ranked,
     read_scores,
     write_betas,
@@ -15,6 +16,7 @@ from tallygraph.sources.tables import read_table, spread_small
 __all__ = [
     "count_files",
     "numeric_columns",
+    "read_betas",
     "read_documents",
     "read_lines",
     "read_numeric_csv",

@@ -9,11 +9,11 @@ SCORE_SCHEMA = "word string, doc_id {}, tfidf double"
 def write_scores(scores: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Store a TF-IDF table for search.
 
-    Rows are sorted by word inside each file, so that a search skips all row
-    groups that cannot hold its terms. There is no shuffle, and no sort either
-    when the scores come from a sorted join on the word.
+    Range partitioned and sorted by word, then document: a term lies in a few neighbouring
+    files and a search opens no others, while a frequent word is split over several.
     """
-    scores.sortWithinPartitions("word").write.mode(mode).parquet(path)
+    ranges = scores.repartitionByRange("word", "doc_id").sortWithinPartitions("word", "doc_id")
+    ranges.write.mode(mode).parquet(path)
 
 
 def read_scores(spark: SparkSession, path: str, id_type: str = "string") -> DataFrame:
@@ -46,3 +46,8 @@ def read_ranked(spark: SparkSession, path: str) -> DataFrame:
 def write_betas(betas: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One file with one line per coefficient: the table has a row per column only."""
     write_tsv(betas.coalesce(1), path, mode)
+
+
+def read_betas(spark: SparkSession, path: str) -> DataFrame:
+    """``(term, beta)`` as written by ``write_betas``."""
+    return read_ranked(spark, path).toDF("term", "beta")

@@ -231,6 +231,7 @@ ORACLES: dict[str, str] = {
     "ols_simple": least_squares(FEATURES[:1]),
     "ols_two_features": least_squares(FEATURES[:2]),
     "ols_three_features": least_squares(FEATURES),
+    "ols_stored_betas": least_squares(FEATURES),
     "ols_from_csv": least_squares(FEATURES[:2])
     .replace("'l_quantity'", "'x1'")
     .replace("'l_discount'", "'x2'"),

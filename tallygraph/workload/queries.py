@@ -11,9 +11,11 @@ from tallygraph.functions import page_title
 from tallygraph.operators.skew import join_spread
 from tallygraph.plans import count_words, fit_csv, rank_lines, score_documents, search_documents
 from tallygraph.sources import (
+    read_betas,
     read_lines,
     read_ranked,
     read_scores,
+    write_betas,
     write_ranked,
     write_scores,
     write_tsv,
@@ -278,3 +280,12 @@ def ols_from_csv(spark, sf_dir):
         rows = prices(spark, sf_dir).select("l_extendedprice", "l_quantity", "l_discount")
         rows.write.csv(area.path("rows"))
         return fit_csv(spark, area.path("rows")).select("term", rounded("beta"))
+
+
+@query
+def ols_stored_betas(spark, sf_dir):
+    """Coefficients written to a text file and read back."""
+    checkpoint_root(spark)
+    with staging(spark) as area:
+        write_betas(op.fit_ols(prices(spark, sf_dir), "l_extendedprice", FEATURES), area.path("betas"))
+        return read_betas(spark, area.path("betas")).select("term", rounded("beta")).checkpoint()

@@ -1,9 +1,12 @@
+from collections import Counter
+
 import pytest
 
 from tallygraph.operators import corpus_size, tokenize, word_count
 from tallygraph.sources import (
     count_files,
     numeric_columns,
+    read_betas,
     read_documents,
     read_lines,
     read_numeric_csv,
@@ -54,6 +57,12 @@ def test_count_files_sees_what_readers_skip(spark, tmp_path):
     (tmp_path / "folder").mkdir()
     (tmp_path / "folder" / "b.txt").write_text("x")
     assert count_files(spark, str(tmp_path)) == 4
+    assert count_files(spark, f"{tmp_path},{tmp_path}/folder") == 5
+    assert count_files(spark, [f"{tmp_path}/fold*", f"{tmp_path}/a.txt"]) == 2
+    (tmp_path / "none").mkdir()
+    assert count_files(spark, str(tmp_path / "none")) == 0
+    with pytest.raises(FileNotFoundError):
+        count_files(spark, str(tmp_path / "missing"))
 
 
 def test_numeric_csv(spark, tmp_path, rows):
@@ -88,16 +97,25 @@ def test_rank_text_keeps_all_digits(spark, tmp_path):
     assert {r["rank"] for r in read_ranked(spark, str(tmp_path / "r")).collect()} == set(values)
 
 
-def test_scores_are_sorted_by_word_in_every_file(spark, tmp_path, rows):
-    scores = spark.range(300).selectExpr(
-        "concat('w', id % 50) AS word", "concat('d', id) AS doc_id", "double(id) AS tfidf"
+def test_scores_of_a_word_lie_together_and_a_hot_word_is_split(spark, tmp_path, rows):
+    scores = spark.range(20000).selectExpr(
+        "if(id % 2 = 0, 'the', concat('w', 100 + id % 100)) AS word", "concat('d', id) AS doc_id", "double(id) AS tfidf"
     ).repartition(3)
-    write_scores(scores, str(tmp_path / "scores"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        write_scores(scores, str(tmp_path / "scores"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     back = read_scores(spark, str(tmp_path / "scores"))
     assert rows(back) == rows(scores)
-    for part in (tmp_path / "scores").glob("part-*.parquet"):
-        words = [r.word for r in spark.read.parquet(str(part)).collect()]
-        assert words == sorted(words)
+    files = [
+        [(r.word, r.doc_id) for r in spark.read.parquet(str(part)).collect()]
+        for part in (tmp_path / "scores").glob("part-*.parquet")
+    ]
+    assert all(keys == sorted(keys) for keys in files)
+    holding = Counter(word for keys in files for word in {word for word, _ in keys})
+    assert len(files) == 8 and 1 < holding.pop("the") < 8
+    assert max(holding.values()) <= 2
 
 
 def test_betas_are_one_file(spark, tmp_path):
@@ -105,6 +123,7 @@ def test_betas_are_one_file(spark, tmp_path):
     write_betas(betas, str(tmp_path / "betas"))
     (part,) = (tmp_path / "betas").glob("part-*")
     assert sorted(part.read_text().splitlines()) == ["intercept\t0.5", "x1\t2.0"]
+    assert read_betas(spark, str(tmp_path / "betas")).orderBy("term").collect() == [("intercept", 0.5), ("x1", 2.0)]
 
 
 def test_tsv_keeps_columns_of_null_cells(spark, tmp_path):
