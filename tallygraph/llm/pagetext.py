@@ -7,7 +7,7 @@ remains.
 """
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from hashlib import blake2b
 from html.parser import HTMLParser
@@ -30,7 +30,8 @@ INLINE = frozenset(
     "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
     "sub sup time tt u var wbr img".split()
 )
-PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dd dt figcaption".split())
+# Inside an article only these may be templates; every other block that is no furniture is its text.
+BOXES = frozenset(["div"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROOTS = frozenset("html body main article".split())
 # An opening tag closes open elements of the same line of work.
@@ -62,10 +63,12 @@ UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 @dataclass(frozen=True)
 class PageParams:
-    """A subtree is a template of a host if it is on ``min_pages`` of its pages or more, pages with
-    the same text counting once. One with more than ``max_share`` of a page's text is none."""
+    """A subtree is a template of a host if it is on ``min_pages`` of its pages or more, and on
+    ``min_share`` of them or more, pages with the same text counting once. One with more than
+    ``max_share`` of a page's text is none."""
 
     min_pages: int = 5
+    min_share: float = 0.5
     max_share: float = 0.5
 
 
@@ -183,10 +186,12 @@ def _articles(root: Node) -> list[Node]:
     return found["main"][:1] or found["body"][:1] or [root]
 
 
-def text_parts(root: Node, may_go: set[int]) -> list[tuple[str, list[int]]]:
-    """The text of the article in parts, each with the hashes out of ``may_go`` of the subtrees that
-    it stands in. Blocks are in page order, one space between them, with white space inside a block
-    turned into one space; a part ends where a subtree that may go begins or ends."""
+def text_parts(root: Node, may_go: Iterable[Node] = ()) -> list[tuple[str, list[int]]]:
+    """The text of the article in parts, each with the hashes of the elements of ``may_go`` that it
+    stands in; equal elements elsewhere do not count. Blocks are in page order, one space between
+    them, with white space inside a block turned into one space; a part ends where an element that
+    may go begins or ends."""
+    going = {id(n) for n in may_go}
     parts: list[tuple[list[str], tuple[int, ...]]] = []
 
     def say(text: str, within: tuple[int, ...]) -> None:
@@ -198,7 +203,7 @@ def text_parts(root: Node, may_go: set[int]) -> list[tuple[str, list[int]]]:
         in_article = article.tag == "article"
         above, node = [], article
         while node is not None:
-            above += [node.digest] if node.digest in may_go else []
+            above += [node.digest] if id(node) in going else []
             node = node.parent
         # Of a header inside the article only the headings are text.
         start = tuple(above)
@@ -219,41 +224,51 @@ def text_parts(root: Node, may_go: set[int]) -> list[tuple[str, list[int]]]:
             if part.tag not in INLINE:
                 say(" ", within)
                 stack.append((" ", False, within))
-                if part.digest in may_go:
+                if id(part) in going:
                     within = (*within, part.digest)
             stack += [(p, headings_only, within) for p in reversed(part.parts)]
     joined = ((" ".join("".join(texts).split()), list(within)) for texts, within in parts)
     return [(text, within) for text, within in joined if text]
 
 
-def main_text(root: Node, templates: set[int] | frozenset[int] = frozenset()) -> str:
-    """The text of the article without the given subtrees."""
-    return " ".join(text for text, within in text_parts(root, set(templates)) if not within)
+def main_text(root: Node) -> str:
+    """The text of the article, templates included."""
+    return " ".join(text for text, _ in text_parts(root))
 
 
-def candidates(root: Node, nodes: list[Node], params: PageParams) -> set[int]:
-    """Hashes of the subtrees that may be templates: blocks with text that are neither prose of an
-    article nor most of the page."""
-    prose = set()
-    stack = [(root, False)]
+def candidate_nodes(root: Node, nodes: list[Node], params: PageParams) -> list[Node]:
+    """The elements that may be templates: blocks with text that are no furniture, which goes
+    anyway, nor most of the page. In an article these are boxes without other blocks, which
+    are the article's own text."""
+    own_text = set()
+    may_be = set()
+    stack = [(root, False, False)]
     while stack:
-        node, inside = stack.pop()
+        node, inside, text = stack.pop()
         inside = inside or node.tag == "article"
         for part in node.parts:
-            if isinstance(part, Node):
-                if inside and part.tag in PROSE:
-                    prose.add(id(part))
-                else:
-                    stack.append((part, inside))
-    return {
-        n.digest
+            if isinstance(part, Node) and not _is_furniture(part, inside):
+                own = text or (inside and part.tag not in INLINE and part.tag not in BOXES)
+                (own_text if own else may_be).add(id(part))
+                stack.append((part, inside, own))
+    for node in nodes:
+        if id(node) in own_text and node.chars and node.parent is not None:
+            own_text.add(id(node.parent))
+    may_be -= own_text
+    return [
+        n
         for n in nodes
         if n.chars
         and n.tag not in INLINE
         and n.tag not in ROOTS
-        and id(n) not in prose
+        and id(n) in may_be
         and n.chars <= params.max_share * root.chars
-    }
+    ]
+
+
+def candidates(root: Node, nodes: list[Node], params: PageParams) -> set[int]:
+    """Hashes of the elements that may be templates."""
+    return {n.digest for n in candidate_nodes(root, nodes, params)}
 
 
 def host_of(url: Column) -> Column:
@@ -281,9 +296,9 @@ def _trees(html: Column, host: Column, side: str, params: PageParams) -> Column:
             rows = []
             for source, salt in zip(values(sources), values(hosts), strict=True):
                 root, nodes = parse(source)
-                found = candidates(root, nodes, params)
+                found = candidate_nodes(root, nodes, params)
                 if side == "subtrees":
-                    rows.append((root.digest, [d ^ salt for d in sorted(found)]))
+                    rows.append((root.digest, [d ^ salt for d in sorted({n.digest for n in found})]))
                 else:
                     said = text_parts(root, found)
                     rows.append(([{"text": t, "within": [d ^ salt for d in w]} for t, w in said],))
@@ -302,10 +317,10 @@ def extract_text(
 ) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row.
 
-    Templates are found per host, pages with equal text counting as one, so that copies of an
-    article are none. Headings and paragraphs of an ``article`` are never templates. The subtrees'
-    hashes are written once to the shared folder, a row per page; counting them sums in the tasks
-    first. The text, in parts that know the subtrees they stand in, then meets the templates of its
+    Templates are found per host, by their share of its pages, pages with equal text counting as
+    one, so that copies of an article are none. Of the blocks of an ``article`` only plain boxes
+    are ever templates. The subtrees' hashes are written once to the shared folder, a row per page;
+    counting them sums in the tasks first. The text, in parts that know the subtrees they stand in, then meets the templates of its
     page by the page's id and a hash of its source. A null page is an empty one: its text is empty.
     Rows that repeat an id and source are the same page. Other columns are ignored; an empty table
     gives an empty result.
@@ -316,18 +331,22 @@ def extract_text(
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
     ).select("*", F.xxhash64("html").alias("source_key"), F.xxhash64(host_of(F.col("url"))).alias("host"))
     trees = Staging(pages.sparkSession).table(
-        keyed.select("page_id", "source_key", _trees(F.col("html"), F.col("host"), "subtrees", params).alias("tree")).select(
-            "page_id", "source_key", "tree.*"
-        ),
+        keyed.select(
+            "page_id", "source_key", "host", _trees(F.col("html"), F.col("host"), "subtrees", params).alias("tree")
+        ).select("page_id", "source_key", "host", "tree.*"),
         "subtrees",
     )
-    shared = (
-        trees.select("page_text", F.explode("subtrees").alias("subtree"))
+    sizes = trees.select("host", "page_text").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
+    often = (
+        trees.select("page_text", "host", F.explode("subtrees").alias("subtree"))
         .distinct()
-        .groupBy("subtree")
+        .groupBy("host", "subtree")
         .agg(F.count("*").alias("n_pages"))
         .where(F.col("n_pages") >= params.min_pages)
     )
+    shared = (
+        join_sums(often, sizes, "host").where(F.col("n_pages") >= params.min_share * F.col("host_pages")).select("subtree")
+    )
     seen = trees.select("page_id", "source_key", F.explode("subtrees").alias("subtree"))
     templates = (
         join_sums(seen, shared, "subtree")

@@ -62,6 +62,24 @@ def test_site_templates_go(spark):
     assert all(got[10 + i] == f"Title {10 + i} Own text {i}. Join the club Said often." for i in range(2))
 
 
+def test_blocks_of_an_article_stay(spark):
+    lists = "<ul><li>Salt</li></ul><table><tr><td>12</td></tr></table><figure>Map</figure><section>Note</section><div>Figure 1</div>"
+    rows = [
+        (i, "http://d.example.com/", f"<p>Said twice</p><article><h1>T {i}</h1><p>Own text {i}.</p><p>Said twice</p>{lists if i < 12 else lists[:-19]}</article>")
+        for i in range(40)
+    ]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    # Lists and tables stay on any number of pages, a box on 12 pages out of 40.
+    for i, text in got.items():
+        assert text == f"T {i} Own text {i}. Said twice Salt 12 Map Note" + " Figure 1" * (i < 12)
+
+
+def test_templates_are_shares_of_a_host(spark):
+    rows = [(i, "http://e.example.com/", f"<div>Top {i < 6}</div><div>Body {i} with more words</div>") for i in range(40)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == ("Top True " if i < 6 else "") + f"Body {i} with more words" for i in range(40))
+
+
 def test_templates_outside_of_articles(spark):
     rows = [(i, "//H.example.com:80/x", f"<div>Top stuff</div><div>Body {i} with more words</div>") for i in range(5)]
     got = extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
