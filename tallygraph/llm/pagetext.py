@@ -64,8 +64,9 @@ UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 @dataclass(frozen=True)
 class PageParams:
     """A subtree is a template of a host if it is on ``min_pages`` of its pages or more, and on
-    ``min_share`` of them or more, pages with the same text counting once. One with more than
-    ``max_share`` of a page's text is none."""
+    ``min_share`` of them or more, pages with the same main text counting once. One with more than
+    ``max_share`` of a page's visible text is none, nor are several that have more than that of a
+    page's main text together: such a page is a copy."""
 
     min_pages: int = 5
     min_share: float = 0.5
@@ -83,12 +84,14 @@ class Node:
     digest: int = 0
 
     def close(self) -> None:
-        """Hash of the element, its texts without white space at their ends, and its subtrees."""
+        """Hash of the element, its texts without white space at their ends, and its subtrees; and
+        how much of its text is no furniture."""
         h = blake2b(self.tag.encode(), digest_size=8)
         for part in self.parts:
             if isinstance(part, Node):
                 h.update(b"<" + part.digest.to_bytes(8, "big", signed=True))
-                self.chars += part.chars
+                if not _is_furniture(part, True):
+                    self.chars += part.chars
             elif bare := " ".join(part.split()):
                 h.update(b">" + bare.encode("utf-8", "replace"))
                 self.chars += len(bare)
@@ -236,11 +239,21 @@ def main_text(root: Node) -> str:
     return " ".join(text for text, _ in text_parts(root))
 
 
+def _text_digest(root: Node) -> int:
+    """Hash of the main text; scripts, head and furniture do not count."""
+    h = blake2b(main_text(root).encode("utf-8", "replace"), digest_size=8)
+    return int.from_bytes(h.digest(), "big", signed=True)
+
+
 def candidate_nodes(root: Node, nodes: list[Node], params: PageParams) -> list[Node]:
     """The elements that may be templates: blocks with text that are no furniture, which goes
-    anyway, nor most of the page. In an article these are boxes without other blocks, which
-    are the article's own text."""
+    anyway, nor around the article, nor most of the page. In an article these are boxes without
+    other blocks, which are the article's own text."""
     own_text = set()
+    for node in _articles(root):
+        while node is not None and id(node) not in own_text:
+            own_text.add(id(node))
+            node = node.parent
     may_be = set()
     stack = [(root, False, False)]
     while stack:
@@ -298,7 +311,7 @@ def _trees(html: Column, host: Column, side: str, params: PageParams) -> Column:
                 root, nodes = parse(source)
                 found = candidate_nodes(root, nodes, params)
                 if side == "subtrees":
-                    rows.append((root.digest, [d ^ salt for d in sorted({n.digest for n in found})]))
+                    rows.append((_text_digest(root), [d ^ salt for d in sorted({n.digest for n in found})]))
                 else:
                     said = text_parts(root, found)
                     rows.append(([{"text": t, "within": [d ^ salt for d in w]} for t, w in said],))
@@ -308,6 +321,10 @@ def _trees(html: Column, host: Column, side: str, params: PageParams) -> Column:
     return run(html, host)
 
 
+def _length(parts: Column) -> Column:
+    return F.aggregate(parts, F.lit(0), lambda n, p: n + F.length(p["text"]))
+
+
 def extract_text(
     pages: DataFrame,
     id_col: str = "page_id",
@@ -317,8 +334,8 @@ def extract_text(
 ) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row.
 
-    Templates are found per host, by their share of its pages, pages with equal text counting as
-    one, so that copies of an article are none. Of the blocks of an ``article`` only plain boxes
+    Templates are found per host, by their share of its pages, pages with equal main text
+    counting as one, so that copies of an article are none, whatever their scripts and menus. Of the blocks of an ``article`` only plain boxes
     are ever templates. The subtrees' hashes are written once to the shared folder, a row per page;
     counting them sums in the tasks first. The text, in parts that know the subtrees they stand in, then meets the templates of its
     page by the page's id and a hash of its source. A null page is an empty one: its text is empty.
@@ -359,9 +376,10 @@ def extract_text(
     marked = texts.join(
         templates, F.col("page_id").eqNullSafe(F.col("own_id")) & (F.col("source_key") == F.col("own_key")), "left"
     )
-    stays = F.filter(
-        "parts",
-        lambda p: F.col("templates").isNull() | ~F.arrays_overlap(p["within"], F.col("templates")),
-    )
-    joined = marked.select("page_id", "url", F.array_join(F.transform(stays, lambda p: p["text"]), " ").alias("text"))
+    goes = F.coalesce(F.col("templates"), F.array().cast("array<long>"))
+    stays = F.filter("parts", lambda p: ~F.arrays_overlap(p["within"], goes))
+    chosen = marked.select("page_id", "url", "parts", stays.alias("stays"))
+    is_copy = _length(F.col("stays")) < (1 - params.max_share) * _length(F.col("parts"))
+    said = F.when(is_copy, F.col("parts")).otherwise(F.col("stays"))
+    joined = chosen.select("page_id", "url", F.array_join(F.transform(said, lambda p: p["text"]), " ").alias("text"))
     return joined.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -94,6 +94,41 @@ def test_copies_of_a_page_make_no_template(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<article><h1>Title</h1><div>One part of it</div><div>Other part</div><div>Third part</div></article>",
+        "<div><article><div>One part of it</div><div>Other part</div></article></div>",
+        "<div><p>One part of it</p><p>Other part</p></div><p>Third part</p>",
+        "<main><div><p>One part of it</p><p>Other part</p></div></main>",
+    ],
+)
+@pytest.mark.parametrize(
+    "differing",
+    [
+        "<script>var long = 'longer than all of the text of this page, again and again'; track({})</script>",
+        "<nav><ul><li>Home</li><li>Menu {}</li></ul></nav>",
+        "<title>Page {}</title>",
+        "<ul><li>Menu {}</li></ul>",
+    ],
+)
+def test_near_copies_stay_whole(spark, body, differing):
+    rows = [(i, "http://f.example.com/", f"<body>{differing.format(i)}{body}</body>") for i in range(8)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: text_of(html) for i, _, html in rows}
+
+
+def test_scripts_are_no_share_of_the_text():
+    root, nodes = parse(f"<script>{'x' * 99}</script><div>most of the text</div><div>rest</div>")
+    assert len(candidates(root, nodes, PageParams())) == 1
+
+
+def test_what_is_around_an_article_is_no_template():
+    root, nodes = parse(f"<div><div><article>short</article></div></div><div>box</div><div>{'long ' * 9}</div>")
+    found = candidates(root, nodes, PageParams())
+    assert [n.parts for n in nodes if n.digest in found] == [["box"]]
+
+
 def test_long_page_and_empty_table(spark):
     long = "<article>" + "<p>word</p>" * 20_000 + "</article>"
     pages = spark.createDataFrame([(1, "u", long)], "page_id long, url string, html string")
