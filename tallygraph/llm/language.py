@@ -28,8 +28,8 @@ TINY, SCALE = 1e-100, 1e100
 
 @dataclass(frozen=True)
 class LanguageParams:
-    """``docs_per_language`` bounds the sample that a language is learned from, ``max_languages``
-    the number of languages (the most frequent labels)."""
+    """``docs_per_language`` bounds the sample of distinct texts that a language is learned from,
+    ``max_languages`` the number of languages (the labels with the most texts)."""
 
     vocabulary: str = VOCABULARY
     docs_per_language: int = 300
@@ -124,23 +124,24 @@ def fit_languages(
 ) -> tuple[list[str], np.ndarray]:
     """The learned languages, in order, and the probability of each piece (row) in each of them.
 
-    Learns from a sample of about ``docs_per_language`` documents of each label, those whose
-    text has a low hash, by expectation maximisation over all segmentations; each language is
+    Learns from a sample of about ``docs_per_language`` distinct texts of each label, those with a
+    low hash, or all if there are no more, by expectation maximisation over all segmentations; each language is
     fitted in a task of its own. What reaches the driver has a row per piece and language, a size
-    set by the vocabulary. Rows without a label or text teach nothing; without any, there are no
-    languages.
+    set by the vocabulary. Rows without a label or a letter teach nothing, and copies no more than
+    one of them; without any rows, there are no languages.
     """
     pieces = letter_pieces(params.vocabulary)
     labelled = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull()
+        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(params.max_languages)
+    texts = labelled.select("lang", F.xxhash64("text").alias("text_key")).distinct()
+    sizes = texts.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(params.max_languages)
     shares = {r["lang"]: min(1.0, params.docs_per_language / r["count"]) for r in sizes.collect()}
     if not shares:
         return [], np.zeros((len(pieces), 0))
     share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")]
     steps = 1 << 20
-    sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(steps)) < share * steps)
+    sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(steps)) < share * steps).distinct()
     lowered = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"))
     words = (
         sample.select("lang", F.explode(lowered).alias("word"))

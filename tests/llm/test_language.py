@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from tallygraph.llm.language import (
     LanguageParams,
     expected_pieces,
+    fit_languages,
     identify_languages,
+    language_column,
     log_probabilities,
 )
 from tallygraph.llm.lattice import PieceTable, WordNumbers, by_length
@@ -97,6 +99,32 @@ def test_odd_rows(spark):
     assert all(by_id[i].lang_pred == ("en", "fr")[i % 2] for i in range(12))
 
 
+def test_labels_made_of_copies_are_learned(spark):
+    fr = ["le chat", "le chien", "la maison", "dans la rue", "et puis", "sur la table", "avec elle", "pour lui"]
+    en = ["the cat", "the dog", "a house", "in the street", "and then", "on the table", "with her", "for him"]
+
+    def texts(words, n):
+        return [" ".join(words[(k * 7 + j * (k % 5 + 1)) % len(words)] for j in range(6)) + f" {k}" for k in range(n)]
+
+    # The share of a label is of its texts, not of its rows, wherever the hash of the copied text is.
+    for copied in ["jamais", "toujours"]:
+        rows = [(t, "fr") for t in texts(fr, 20)] + [(t, "en") for t in texts(en, 20)]
+        rows += [(copied, "fr")] * 60_000 + [(str(i), "en") for i in range(20_000)]
+        docs = spark.createDataFrame(rows, "text string, lang string").coalesce(8)
+        languages, probs = fit_languages(docs, params=LanguageParams(rounds=1))
+        assert languages == ["en", "fr"]
+        found = language_column(docs, F.col("text"), languages, probs)
+        right = docs.where(F.length("text") > 12).select((F.col("lang") == found["lang_pred"]).alias("ok"))
+        assert right.where(~F.col("ok")).count() == 0
+
+
+def test_copies_teach_once(spark):
+    rows = [("the cat and the dog", "en"), ("le chat et le chien", "fr")]
+    plain = spark.createDataFrame(rows, "text string, lang string")
+    copied = spark.createDataFrame(rows + rows[:1] * 50, "text string, lang string")
+    assert np.array_equal(fit_languages(plain)[1], fit_languages(copied)[1])
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "text", None), (4, None, "en")], "doc_id long, text string, lang string")
     assert {r.lang_pred for r in identify_languages(docs).collect()} == {"und"}
