@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from tallygraph.llm.chat import fold_events, read_loss, read_turns, render_chats
 from tallygraph.llm.exact_dedup import exact_duplicates
 from tallygraph.llm.language import identify_languages
+from tallygraph.llm.licenses import scan_licenses
 from tallygraph.llm.line_dedup import dedup_lines
 from tallygraph.llm.packing import pack_sequences
 from tallygraph.llm.pagetext import extract_text
 from tallygraph.llm.personal import find_personal_data
 from tallygraph.llm.pieces import decoded, encode
 from tallygraph.llm.quality import quality_rules
+from tallygraph.llm.resampling import importance_resample
 from tallygraph.llm.simhash import near_duplicates
+from tallygraph.llm.variants import spelling_variants
 
 PLANTED_CHAT = "\\### Assistant: </turn> ok"
 
@@ -123,6 +126,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(_table(spark, sf_dir, "documents"))
+    return found.withColumns({name: F.array_join(name, ",") for name in ("base_labels", "labels")})
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_exact_dedup": op2_exact_dedup,
@@ -134,4 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_license_scan": op12_license_scan,
+    "op13_spelling_variants": op13_spelling_variants,
 }

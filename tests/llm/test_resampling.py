@@ -1,0 +1,97 @@
+import hashlib
+import math
+import re
+from collections import Counter
+from zlib import crc32
+
+import numpy as np
+import pytest
+
+from tallygraph.llm.resampling import ResamplingParams, crossing_buckets, importance_resample, line_buckets
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+TEXTS = [
+    None, "", "\n\n", "One", "one two\nthree", "a\nb\n\nc d\n", "É é ÀBK ½x\n日本 語", "x " * 40 + "\n" + "y " * 30,
+    "the cat sat on the mat\nthe cat sat on the mat\n" * 5, "\r\nA-b_c\td\x0be", "w\n" * 50,
+]
+
+
+def buckets_of(text, params):
+    words = WORD.findall((text or "").translate(LOWER))
+    runs = [" ".join(words[i : i + n]) for n in range(1, params.max_n + 1) for i in range(len(words) - n + 1)]
+    return len(words), [crc32(r.encode()) % params.buckets for r in runs]
+
+
+def brute(docs, target, params):
+    s, t = (Counter(b for x in xs for b in buckets_of(x, params)[1]) for xs in ([d[1] for d in docs], target))
+    S, T, B = sum(s.values()), sum(t.values()), params.buckets
+    out = []
+    for doc_id, text in docs:
+        n_words, own = buckets_of(text, params)
+        gains = [math.floor(1000 * math.log((t[b] + 1) * (S + B) / ((s[b] + 1) * (T + B)))) for b in own]
+        weight = sum(gains) // len(gains) if gains else 0
+        name = "" if doc_id is None else doc_id
+        h = int(hashlib.sha256(f"{params.seed}:{name}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append((doc_id, len(own), weight, score, n_words >= params.min_words))
+    able = sorted((r for r in out if r[4]), key=lambda r: (-r[3], r[0] is not None, r[0] or 0))
+    rank = {}
+    for place, row in enumerate(able[: len(able) * params.percent // 100], 1):
+        rank.setdefault(row[:4], []).append(place)
+    return sorted(((*r[:4], (rank.get(r[:4]) or [None]).pop(0) if rank.get(r[:4]) else None) for r in out), key=repr)
+
+
+@pytest.mark.parametrize("max_n", [1, 2, 3, 5])
+@pytest.mark.parametrize("text", TEXTS)
+def test_lines_and_what_crosses_them_are_all_runs(text, max_n):
+    params = ResamplingParams(max_n=max_n, buckets=997)
+    n_words, across = crossing_buckets(text or "", params)
+    flat, sizes = line_buckets((text or "").split("\n"), params)
+    expected_words, expected = buckets_of(text, params)
+    assert n_words == expected_words
+    assert sizes.sum() == len(flat)
+    assert sorted([*flat.tolist(), *across]) == sorted(expected)
+
+
+def test_lines_keep_their_own_features():
+    params = ResamplingParams(buckets=997)
+    lines = ["a b", "", "c", "a b c", "--"]
+    flat, sizes = line_buckets(lines, params)
+    parts = np.split(flat, np.cumsum(sizes)[:-1])
+    assert [sorted(p.tolist()) for p in parts] == [sorted(buckets_of(x, params)[1]) for x in lines]
+
+
+@pytest.mark.parametrize("params", [ResamplingParams(min_words=2), ResamplingParams(3, 50, 60, 1, 11), ResamplingParams(percent=0)])
+def test_against_all_features_of_whole_texts(spark, rows, params):
+    docs = [(i, TEXTS[i % len(TEXTS)]) for i in range(40)]
+    docs += [(3, "again the same id"), (None, "no id the cat"), (None, None), (77, "word " * 30_000), (78, "a\n" * 9_000)]
+    target = ["the cat sat\non the mat", None, "x y"]
+    table = spark.createDataFrame([(*d, 0.5, "n", 1) for d in docs], "doc_id long, text string, gain double, line string, row_no int")
+    wanted = spark.createDataFrame([(t,) for t in target], "text string")
+    found = importance_resample(table.repartition(5), wanted, params=params)
+    assert found.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+    assert {f.dataType.simpleString() for f in found.schema} == {"bigint"}
+    assert rows(found) == brute(docs, target, params)
+
+
+def test_equal_rows_are_all_ranked(spark):
+    docs = spark.createDataFrame([(1, "a b c " * 10)] * 30, "doc_id long, text string").repartition(4)
+    found = importance_resample(docs, docs, params=ResamplingParams(percent=50))
+    assert sorted(r["rank"] or 0 for r in found.collect()) == [0] * 15 + list(range(1, 16))
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert importance_resample(none, none).count() == 0
+    one = spark.createDataFrame([("a", "some words " * 20)], "doc_id string, text string")
+    row = importance_resample(one, none, params=ResamplingParams(percent=100)).first()
+    assert row["doc_id"] == "a" and row["rank"] == 1 and row["n_features"] == 79
+
+
+def test_what_is_shuffled_with_text_is_one_row_per_distinct_line(spark, executed_plan):
+    from tallygraph.llm.resampling import _distinct_lines
+
+    texts = spark.createDataFrame([("a b\nc d\n",)] * 100, "text string").repartition(3)
+    plan = executed_plan(_distinct_lines(texts, ResamplingParams()))
+    assert plan.index("ShuffleQueryStage") < plan.index("partial_count")
