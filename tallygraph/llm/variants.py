@@ -9,6 +9,7 @@ first characters share the last ones instead, and are accepted in partitions by
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from os.path import commonprefix
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -117,8 +118,11 @@ def _accepted(words: list[str], counts: list[int], a: int, b: int, end: int, sho
     """Both directions of the pairs that one partition accepts."""
     number = {w[a : len(w) - b]: i for i, w in enumerate(words)}
     for left, right in Acceptor(number).near_pairs(0, end - a):
-        if not short or max(len(left), len(right)) == 1:
-            i, j = number[left], number[right]
+        i, j = number[left], number[right]
+        if short and max(len(left), len(right)) > 1:
+            continue
+        # What two words share at the start may reach into the last characters, which are cut off here.
+        if end == NO_END or len(commonprefix([words[i], words[j]])) < end:
             yield words[i], words[j], counts[j]
             yield words[j], words[i], counts[i]
 
