@@ -15,28 +15,30 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from tallygraph.llm.lattice import PieceTable, WordNumbers, blocks, by_length, values
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN = "und"
 START = "▁"
-LETTERS = re.compile(r"[^\W\d_]+")
+# A letter is what ``str.isalpha`` takes for one: of the word characters, no number of any kind.
+NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha())
+LETTERS = re.compile(f"[^\\W_{NUMBERS}]+")
 # Below this, forward sums of long words are scaled up.
 TINY, SCALE = 1e-100, 1e100
 
 
 @dataclass(frozen=True)
 class LanguageParams:
-    """``docs_per_language`` bounds the sample of distinct texts that a language is learned from,
-    ``max_languages`` the number of languages (the labels with the most texts)."""
+    """``docs_per_language`` bounds the sample of distinct texts that a language is learned from.
+    More than ``max_languages`` labels are an error, as the model has a row of numbers for each."""
 
     vocabulary: str = VOCABULARY
     docs_per_language: int = 300
-    max_languages: int = 256
+    max_languages: int = 1000
     rounds: int = 4
     smoothing: float = 0.5
-    longest_word: int = 64
     unknown: float = 1e-7
 
 
@@ -52,6 +54,12 @@ def words_of(text: str) -> list[str]:
     return [START + w for w in LETTERS.findall(text.lower())]
 
 
+@F.arrow_udf(ArrayType(StringType()))
+def _words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for texts in batches:
+        yield pa.array([words_of(t or "") for t in values(texts)], pa.list_(pa.string()))
+
+
 def forward(ids: np.ndarray, probs: np.ndarray, unknown: float) -> tuple[np.ndarray, np.ndarray]:
     """Forward sums of words of one length: ``alpha[j, w, k]`` over prefixes of ``j`` characters
     in model ``k``, and the logarithm of what each word's sums were scaled by."""
@@ -101,19 +109,25 @@ def expected_pieces(
         padded = np.append(probs, 0.0)
         edge = padded[ids]
         edge[:, :, 0] = np.where(ids[:, :, 0] < 0, unknown, edge[:, :, 0])
+        # Logarithms of the sums, each taken relative to the one next to it: the sums of long words
+        # are too small for a number, what one character changes is not.
         alpha = np.zeros((n, length + 1))
         beta = np.zeros((n, length + 1))
-        alpha[:, 0] = beta[:, length] = 1.0
         for j in range(1, length + 1):
-            for m in range(1, min(j, longest) + 1):
-                alpha[:, j] += alpha[:, j - m] * edge[:, j - 1, m - 1]
+            m = min(j, longest)
+            before = alpha[:, j - m : j][:, ::-1]
+            step = np.exp(before - before[:, :1]) * edge[:, j - 1, :m]
+            alpha[:, j] = before[:, 0] + np.log(step.sum(axis=1))
         for i in range(length - 1, -1, -1):
-            for m in range(1, min(length - i, longest) + 1):
-                beta[:, i] += beta[:, i + m] * edge[:, i + m - 1, m - 1]
-        scale = counts[some] / alpha[:, length]
+            m = min(length - i, longest)
+            after = beta[:, i + 1 : i + m + 1]
+            step = np.exp(after - after[:, :1]) * edge[:, np.arange(i, i + m), np.arange(m)]
+            beta[:, i] = after[:, 0] + np.log(step.sum(axis=1))
+        whole = alpha[:, length, None]
         for m in range(1, longest + 1):
             ends = slice(m - 1, length)
-            share = alpha[:, : length + 1 - m] * edge[:, ends, m - 1] * beta[:, m:] * scale[:, None]
+            around = np.exp(alpha[:, : length + 1 - m] + beta[:, m:] - whole)
+            share = around * edge[:, ends, m - 1] * counts[some][:, None]
             hit = ids[:, ends, m - 1] >= 0
             total += np.bincount(ids[:, ends, m - 1][hit], share[hit], len(total))
     return total
@@ -135,17 +149,17 @@ def fit_languages(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     )
     texts = labelled.select("lang", F.xxhash64("text").alias("text_key")).distinct()
-    sizes = texts.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(params.max_languages)
-    shares = {r["lang"]: min(1.0, params.docs_per_language / r["count"]) for r in sizes.collect()}
+    sizes = texts.groupBy("lang").count().limit(params.max_languages + 1).collect()
+    if len(sizes) > params.max_languages:
+        raise ValueError(f"more than {params.max_languages} languages")
+    shares = {r["lang"]: min(1.0, params.docs_per_language / r["count"]) for r in sizes}
     if not shares:
         return [], np.zeros((len(pieces), 0))
     share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")]
     steps = 1 << 20
     sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(steps)) < share * steps).distinct()
-    lowered = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"))
     words = (
-        sample.select("lang", F.explode(lowered).alias("word"))
-        .where(F.length("word") <= params.longest_word)
+        sample.select("lang", F.explode(_words("text")).alias("word"))
         .groupBy("lang", "word")
         .agg(F.count("*").alias("n"))
     )
@@ -155,11 +169,13 @@ def fit_languages(
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         table = PieceTable.of(shared.value)
         pdf = pdf.sort_values("word")
-        words, counts = [START + w for w in pdf["word"]], pdf["n"].to_numpy(float)
+        words, counts = pdf["word"].tolist(), pdf["n"].to_numpy(float)
         probs = np.full(len(pieces), 1 / len(pieces))
         for _ in range(params.rounds):
             probs = expected_pieces(words, counts, table, probs, params.unknown) + params.smoothing
             probs /= probs.sum()
+        if not np.isfinite(probs).all():
+            raise ArithmeticError("the piece probabilities are not finite")
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "piece": np.arange(len(pieces)), "p": probs})
 
     fitted = words.groupBy("lang").applyInPandas(fit, "lang string, piece int, p double").toPandas()

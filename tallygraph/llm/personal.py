@@ -8,10 +8,9 @@ marks of their kind, and never touch a span of the patterns.
 
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +20,9 @@ from tallygraph.llm.lattice import blocks, values
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BACKGROUND = "none"
+# A value's first token has its kind as label, the others are inside. So values side by side stay apart.
+INSIDE = "+"
+LABELS = [BACKGROUND, *KINDS, *(kind + INSIDE for kind in KINDS)]
 MAX_EXAMPLES = 2_000
 
 # The patterns. No start inside a run of digits can do better than the run's own.
@@ -93,7 +95,7 @@ SHAPES = [
         r"[^0-9@]*",
         r".*@.*",
         r".*@[\w-]+(\.[\w-]+)*\W*",
-        r"[\w.%+-]+[\[({<]at[\])}>][\w.\[\](){}<>-]+",
+        r"[\w.%+-]+[\[({<]at[\])}>][\w.\[\](){}<>-]+\W*",
         r"[\[({<]at[\])}>]",
         r"[\[({<]dot[\])}>]",
         r".*[\[({<]dot[\])}>].*",
@@ -108,6 +110,7 @@ SHAPES = [
         r"\+.*\d.*",
         r"\(\d+\)\W*",
         r"\(?\d{3}\)?[-./]\d{3}[-./]\d{4}\W*",
+        r"\(\d{3}\)\d{3}[-./]\d{4}\W*",
         r"\(?\d+\)?([-./]\d{2,})+\W*",
         r"\d{3}-\d{4}\W*",
         r"(\d{4}[.\-_/]){3}\d{4}\W*",
@@ -135,8 +138,8 @@ def word_shape(token: str) -> tuple[int, ...]:
 
 
 def labelled_examples(spark: SparkSession, per_way: int = 8, seed: int = 11) -> DataFrame:
-    """The small labelled table: ``tokens, labels``, made from a rule. Rows hold a value of some
-    kind among plain words, or numbers and marks that are no personal data."""
+    """The small labelled table: ``tokens, labels``, made from a rule. Rows hold one to three values of
+    some kind among plain words, or numbers and marks that are no personal data."""
     rng = random.Random(seed)
 
     def word() -> str:
@@ -202,23 +205,29 @@ def labelled_examples(spark: SparkSession, per_way: int = 8, seed: int = 11) ->
     ]
     rows = []
     for kind, ways in [*makers.items(), (BACKGROUND, nothing)]:
+        # Every third row of a kind has several values side by side, of one way or of two.
         for n in range(per_way * len(ways)):
-            value = ways[n % len(ways)]().split(" ")
-            value[-1] += rng.choice(["", "", ".", ","])
-            before = [word() for _ in range(rng.randint(0, 5))]
+            beside = rng.randint(1, 2) if kind != BACKGROUND and n // len(ways) % 3 == 2 else 0
+            tokens, labels = [word() for _ in range(rng.randint(0, 5))], []
+            labels += [BACKGROUND] * len(tokens)
+            for k in range(1 + beside):
+                value = (rng.choice(ways) if k and rng.random() < 0.3 else ways[n % len(ways)])().split(" ")
+                value[-1] += rng.choice(["", "", ".", ","])
+                tokens += value
+                labels += [kind] + [kind if kind == BACKGROUND else kind + INSIDE] * (len(value) - 1)
             after = [word() + rng.choice(["", "."]) for _ in range(rng.randint(0, 5))]
-            rows.append((before + value + after, [BACKGROUND] * len(before) + [kind] * len(value) + [BACKGROUND] * len(after)))
+            rows.append((tokens + after, labels + [BACKGROUND] * len(after)))
     return spark.createDataFrame(rows, "tokens array<string>, labels array<string>")
 
 
 def fit_field(examples: DataFrame) -> ChainCRF:
     """Train the field from a table of ``tokens, labels`` (arrays of one length, labels out of
-    ``KINDS`` and ``none``). The table must be small: at most ``MAX_EXAMPLES`` rows."""
+    ``LABELS``). The table must be small: at most ``MAX_EXAMPLES`` rows."""
     rows = examples.select("tokens", "labels").limit(MAX_EXAMPLES + 1).collect()
     if len(rows) > MAX_EXAMPLES:
         raise ValueError(f"more than {MAX_EXAMPLES} labelled rows")
     rows.sort(key=lambda r: (r.tokens, r.labels))
-    field = ChainCRF([BACKGROUND, *KINDS], word_shape, len(SHAPES))
+    field = ChainCRF(LABELS, word_shape, len(SHAPES))
     return field.fit([r.tokens for r in rows], [r.labels for r in rows])
 
 
@@ -265,36 +274,50 @@ class _Finder:
         return [sorted(spans, key=_in_order) for spans in found]
 
     def _spans(self, text: str, tokens: list[str], at: list[int], labels: np.ndarray) -> Iterator[tuple[str, int, int]]:
-        edges = np.flatnonzero(np.diff(labels, prepend=0, append=0))
-        for a, b in zip(edges, edges[1:], strict=False):
-            if labels[a]:
-                kind = self.field.labels[labels[a]]
-                start, end = at[a], at[b - 1] + len(tokens[b - 1])
-                while start < end and not (text[start].isalnum() or text[start] in "+(["):
-                    start += 1
-                while start < end and not (text[end - 1].isalnum() or text[end - 1] in "])"):
-                    end -= 1
-                if _holds(kind, text[start:end]):
-                    yield kind, start, end
+        marked, next_free = np.flatnonzero(labels).tolist(), 0
+        for a in marked:
+            if a < next_free:
+                continue
+            number = (labels[a] - 1) % len(KINDS)
+            b = a + 1
+            while b < len(labels) and labels[b] == 1 + len(KINDS) + number:
+                b += 1
+            next_free = b
+            kind, start, end = KINDS[number], at[a], at[b - 1] + len(tokens[b - 1])
+            while start < end and not (text[start].isalnum() or text[start] in "+(["):
+                start += 1
+            while start < end and not (text[end - 1].isalnum() or text[end - 1] in "])"):
+                end -= 1
+            if _holds(kind, text[start:end]):
+                yield kind, start, end
 
 
 SPANS = "array<struct<kind: string, start: int, `end`: int, by_pattern: boolean>>"
 
 
+def _finder_of(docs: DataFrame, field: ChainCRF) -> Callable[[], _Finder]:
+    """Makes a finder in a task, from a field that is broadcast."""
+    shared = docs.sparkSession.sparkContext.broadcast((field.weights, field.moves, field.first))
+
+    def finder() -> _Finder:
+        own = ChainCRF(LABELS, word_shape, len(SHAPES))
+        own.weights, own.moves, own.first = shared.value
+        return _Finder(own)
+
+    return finder
+
+
 def personal_spans(docs: DataFrame, text: Column, field: ChainCRF) -> Column:
     """Spans of a text by start, then kind: code points, end exclusive. Those of the patterns may
     overlap between kinds; those of the field overlap none of them. A null text has none."""
-    state = (field.weights, field.moves, field.first)
-    shared = docs.sparkSession.sparkContext.broadcast(state)
+    make = _finder_of(docs, field)
 
     @F.arrow_udf(SPANS)
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         names = ("kind", "start", "end", "by_pattern")
         kinds = (pa.string(), pa.int32(), pa.int32(), pa.bool_())
         result = pa.list_(pa.struct(list(zip(names, kinds, strict=True))))
-        own = ChainCRF([BACKGROUND, *KINDS], word_shape, len(SHAPES))
-        own.weights, own.moves, own.first = shared.value
-        finder = _Finder(own)
+        finder = make()
         for batch in batches:
             out: list = []
             for _, block in blocks(values(batch)):
@@ -310,7 +333,9 @@ def find_personal_data(
     """``doc_id, spans`` for every row; ``examples`` replaces the labelled table.
 
     Rows that repeat an id are searched one by one; other columns are ignored; an empty table gives
-    an empty result.
+    an empty result. A null or empty text has no spans; very long texts are searched whole, about a
+    million characters at a time in a task. Spans that start together come in the order of ``KINDS``; a field
+    span that touches one of the patterns' is left out.
     """
     field = fit_field(labelled_examples(docs.sparkSession) if examples is None else examples)
     return docs.select(F.col(id_col).alias("doc_id"), personal_spans(docs, F.col(text_col), field).alias("spans"))
@@ -329,20 +354,18 @@ def redact(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
     return "".join(out) + text[end:]
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """``redact`` as a column, for the output of ``personal_spans``."""
+def redacted(docs: DataFrame, text: Column, field: ChainCRF) -> Column:
+    """The text with its spans replaced as by ``redact``, found and replaced in one go. Null stays null."""
+    make = _finder_of(docs, field)
 
-    @F.pandas_udf("string")
-    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, found in parts:
-            yield pd.Series(
-                [
-                    t if s is None else redact(t, [(x["kind"], x["start"], x["end"]) for x in s])
-                    for t, s in zip(texts, found, strict=True)
-                ],
-                dtype=object,
-            )
+    @F.arrow_udf("string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        finder = make()
+        for batch in batches:
+            out: list = []
+            for _, block in blocks(values(batch)):
+                found = zip(block, finder(block), strict=True)
+                out += [redact(t, [s[:3] for s in spans]) if spans else t for t, spans in found]
+            yield pa.array(out, pa.string())
 
-    # Texts without personal data do not go through Python.
-    some = F.array_size(spans) > 0
-    return F.when(some, run(F.when(some, text), F.when(some, spans))).otherwise(text)
+    return F.when(text.isNotNull(), run(text))

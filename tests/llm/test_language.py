@@ -137,3 +137,35 @@ def test_prediction_uses_the_text_only(spark):
     a = identify_languages(docs, params=LanguageParams(rounds=1)).toPandas()
     b = identify_languages(shuffled, params=LanguageParams(rounds=1)).toPandas()
     assert a.sort_values("doc_id").reset_index(drop=True).equals(b.sort_values("doc_id").reset_index(drop=True))
+
+
+@pytest.mark.parametrize("length", [1, 47, 64, 65, 5000])
+def test_fit_with_unknown_letters(length):
+    table = PieceTable(PIECES)
+    probs = np.full(len(PIECES), 1 / len(PIECES))
+    words = ["▁ab", "▁" + "ƕ" * length, "▁" + "ab" * length]
+    got = expected_pieces(words, np.ones(3), table, probs, 1e-7)
+    assert np.isfinite(got).all()
+    # A start in each word, and the pieces of the last one cover its letters.
+    assert got[[0, 1, 6]].sum() == pytest.approx(3)
+    assert got @ [0, 1, 1, 2, 1, 2, 2, 4] == pytest.approx(2 + 2 * length)
+
+
+def test_long_runs_of_rare_letters_do_not_spoil_a_language(spark):
+    plain = {"en": "the cat sat on the mat with", "fr": "le chat est sur la table avec", "de": "die Katze sitzt auf der Matte"}
+    rows = [(i, f"{text} {word}", lang) for lang, text in plain.items() for i, word in enumerate(text.split() * 4)]
+    rows += [(i, f"le chat est la {'ƕƿȝ' * n}", "fr") for i, n in enumerate([16, 22, 2000])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    languages, probs = fit_languages(docs)
+    assert np.isfinite(probs).all() and probs.sum(axis=0) == pytest.approx(np.ones(3))
+    found = docs.select("lang", language_column(docs, F.col("text"), languages, probs).alias("f")).collect()
+    assert all(r["f"]["lang_pred"] == r["lang"] and 0.5 < r["f"]["score"] <= 1 for r in found)
+    odd = spark.createDataFrame([("½ ² 12 !",), ("①",), ("12 !",), ("_",), ("ª",)], "text string").coalesce(1)
+    named = [r[0] for r in odd.select(language_column(odd, F.col("text"), languages, probs)["lang_pred"]).collect()]
+    assert named[:4] == ["und"] * 4 and named[4] in languages
+
+
+def test_too_many_languages(spark):
+    docs = spark.range(5).selectExpr("id AS doc_id", "'some text' AS text", "CAST(id AS STRING) AS lang")
+    with pytest.raises(ValueError, match="4 languages"):
+        fit_languages(docs, params=LanguageParams(max_languages=4))

@@ -168,6 +168,45 @@ def test_redaction(spark):
     assert redact("a@b.c and 1.2.3.4", [("ip", 10, 17), ("email", 0, 5)]) == "[EMAIL] and [IP]"
     assert redact("0123456789", [("phone", 2, 6), ("card", 4, 8)]) == "01[PHONE]89"
     assert redact(None, []) is None
-    rows = [("x a@b.c", [("email", 2, 7)]), ("plain", []), (None, []), ("", None)]
-    df = spark.createDataFrame(rows, "t string, s array<struct<kind:string,start:int,`end`:int>>")
-    assert [r[0] for r in df.select(redacted(F.col("t"), F.col("s"))).collect()] == ["x [EMAIL]", "plain", None, ""]
+    texts = ["x a@b.c", "plain", None, "", "call 212-555-0187 313-555-0111 now"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    field = fit_field(labelled_examples(spark))
+    found = [r[0] for r in df.select(redacted(df, F.col("t"), field)).collect()]
+    assert found == ["x [EMAIL]", "plain", None, "", "call [PHONE] [PHONE] now"]
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "values"),
+    [
+        ("call 212-555-0187 313-555-0111 now", "phone", ["212-555-0187", "313-555-0111"]),
+        ("call 212-555-0187 or 313-555-0111 now", "phone", ["212-555-0187", "313-555-0111"]),
+        ("(212) 555-0187 (313) 555-0111", "phone", ["(212) 555-0187", "(313) 555-0111"]),
+        ("4111.1111.1111.1111 5500.0000.0000.0004", "card", ["4111.1111.1111.1111", "5500.0000.0000.0004"]),
+        ("from 10[.]0[.]0[.]1 10[.]0[.]0[.]2 here", "ip", ["10[.]0[.]0[.]1", "10[.]0[.]0[.]2"]),
+    ],
+)
+def test_neighbours_are_spans_of_their_own(finder, text, kind, values):
+    assert [(k, text[a:b]) for k, a, b, _ in finder([text])[0]] == [(kind, v) for v in values]
+
+
+def test_recall_and_precision_on_other_examples(spark, finder):
+    """Values that the patterns miss, from another seed: nine in ten are found, and of what is found
+    nine in ten are values."""
+    wanted = found = right = 0
+    for r in labelled_examples(spark, seed=99).collect():
+        text, at, own = " ".join(r.tokens), 0, []
+        for token, label in zip(r.tokens, r.labels, strict=True):
+            if label.endswith("+"):
+                own[-1][2] = at + len(token)
+            elif label != "none":
+                own.append([label, at, at + len(token)])
+            at += len(token) + 1
+        base = [s[:3] for s in finder([text])[0] if s[3]]
+        # A made value counts where it could be one: cards by their check digit, and not where the patterns are.
+        own = [s for s in own if not any(s[1] < e and b < s[2] for _, b, e in base)]
+        own = [s for s in own if s[0] != "card" or luhn(digits(text[s[1] : s[2]]))]
+        added = [s[:3] for s in finder([text])[0] if not s[3]]
+        wanted += len(own)
+        found += len(added)
+        right += sum(any(k == s[0] and s[1] <= a and b <= s[2] and b - a >= s[2] - s[1] - 3 for k, a, b in added) for s in own)
+    assert wanted > 100 and right >= 0.9 * wanted and right >= 0.9 * found
