@@ -9,17 +9,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygraph.llm.language import LanguageParams, fit_languages, held_out, language_column
+from tallygraph.llm.language import UNKNOWN, LanguageParams, fit_languages, held_out, language_column
 from tallygraph.llm.line_dedup import dedup_lines
 from tallygraph.llm.packing import pack_sequences
-from tallygraph.llm.personal import fit_field, labelled_examples, personal_spans, redacted
+from tallygraph.llm.personal import fit_field, labelled_examples, redacted
 from tallygraph.llm.simhash import near_duplicates
 from tallygraph.llm.text import packed, unpacked
 from tallygraph.staging import Staging
 
-# A document is rejected if its likeliest language is less likely than this.
-MIN_LANGUAGE_SCORE = 0.5
-
 
 def _with_text(rows: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
     """The columns of ``docs`` out of a packed row, with another text and its length."""
@@ -30,9 +27,10 @@ def _with_text(rows: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter, null texts among them, and those of no clear language.
+    """Rejects documents of no language: null texts and those without a letter.
 
-    Where no label tells of a language, only those without a letter go.
+    The score is a probability among the learned languages, high for nearly any text, and low for a
+    clean one of few words that they share; so it rejects nothing.
     """
     params = LanguageParams()
     languages, probs = fit_languages(docs.where(~held_out()), params=params)
@@ -40,7 +38,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language_column(docs, F.col("text"), languages, probs, params)
     judged = docs.select(packed(docs), found.alias("found"))
-    return unpacked(judged.where(F.col("found.score") >= MIN_LANGUAGE_SCORE), docs.columns, {})
+    return unpacked(judged.where(F.col("found.lang_pred") != UNKNOWN), docs.columns, {})
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +63,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces each span of personal data by its kind in brackets."""
     field = fit_field(labelled_examples(spark))
-    found = docs.select(packed(docs), personal_spans(docs, F.col("text"), field).alias("spans"))
-    rows = found.select("row", redacted(F.col("row.text"), F.col("spans")).alias("clean"))
+    rows = docs.select(packed(docs), redacted(docs, F.col("text"), field).alias("clean"))
     return _with_text(rows, docs, F.col("clean"))
 
 
