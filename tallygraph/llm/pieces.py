@@ -15,28 +15,33 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
-from tallygraph.llm.lattice import PieceTable, WordNumbers, blocks, by_length
+from tallygraph.llm.lattice import PieceTable, WordNumbers, blocks, by_length, values
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 START = "▁"
-# Stands for a literal word start in a text: a character without a piece.
-LITERAL = "\ue000"
+# Stands for a literal word start in a text: a character without a piece, which no text can hold.
+LITERAL = "\ud800"
 # Parts of a text that no piece reaches across: letters up to a space or an ASCII mark, and what
 # follows up to the next space; spaces; line ends. The spaces before a part belong to it.
 MARKS = r"!-@\[-`{-~"
 LETTER = r"[^\W\d_¹²³]"
-WORDS = re.compile(rf" *{LETTER}++(?=[ \n{MARKS}]|\Z)| *[^ \n]+| +|\n")
+WORDS = re.compile(rf"{START}*{LETTER}++(?=[{START}\n{MARKS}]|\Z)|{START}*[^{START}\n]+|{START}+|\n")
 MIXED = re.compile(rf"{LETTER}[{MARKS}]")
 UNKNOWN_PENALTY = 10.0
 REPLACEMENT = "\ufffd".encode()
+# Scores are whole multiples of this, so that sums of them are exact and equal scores are equal.
+UNIT = 2.0**-24
+# Longer words are segmented one by one.
+LONG = 1_000
 
 
 @dataclass
@@ -48,6 +53,7 @@ class PieceModel:
     texts: list[bytes]
     table: PieceTable
     index: dict[str, int]
+    score_list: list[float]
 
 
 def load_model(path: str = VOCABULARY) -> PieceModel:
@@ -69,56 +75,94 @@ def load_model(path: str = VOCABULARY) -> PieceModel:
         texts[i] = bytes([value])
     ranks = np.arange(1, len(pieces) + 1)
     scores = -np.log(ranks) - np.log((1 / ranks).sum())
+    scores = np.round(scores / UNIT) * UNIT
     unknown = float(scores.min()) - UNKNOWN_PENALTY
     index = {p: k for k, p in enumerate(pieces)}
-    return PieceModel(ids, scores, unknown, byte_ids, texts, PieceTable(pieces), index)
+    return PieceModel(ids, scores, unknown, byte_ids, texts, PieceTable(pieces), index, scores.tolist())
 
 
-def lattice_form(word: str) -> str:
-    return word.replace(START, LITERAL).replace(" ", START)
+def lattice_form(text: str) -> str:
+    """A text as the lattice reads it, with word starts for spaces."""
+    if START in text:
+        text = text.replace(START, LITERAL)
+    return text.replace(" ", START)
 
 
-def n_best(word: str, model: PieceModel, n: int) -> list[tuple[float, list[tuple[int, int]]]]:
-    """The ``n`` best segmentations of a word, best first: score and pieces, each as its end and
-    length. Equal scores come in the order in which the search meets them."""
-    form = lattice_form(word)
+def _bytes_of(c: str) -> bytes:
+    """The UTF-8 of a character of the lattice form that has no piece."""
+    return (START if c == LITERAL else c).encode()
+
+
+def n_best(form: str, model: PieceModel, n: int) -> list[tuple[float, list[tuple[int, int]]]]:
+    """The ``n`` best segmentations of a word in lattice form, best first: score and pieces, each as
+    its end and length. Of equal scores, the one whose last piece is longest comes first, and so on
+    to the left.
+
+    The forward pass leaves the best score of each prefix. The search goes backwards from the end;
+    what is ahead costs exactly that, so the first path to arrive is the best. A path is extended by
+    its best piece, and the next best one joins once that has been taken. The ``n`` best paths need
+    no position more than ``n`` times, so the work is bounded by ``n`` times the length.
+    """
     length, longest = len(form), model.table.max_len
-    edges: list[list[tuple[int, float]]] = [[]]
-    best = [0.0]
+    find, scores = model.index.get, model.score_list
+    best = [0.0] * (length + 1)
+
     for j in range(1, length + 1):
-        found = ((m, model.index.get(form[j - m : j])) for m in range(1, min(j, longest) + 1))
-        ending = [(m, float(model.scores[k])) for m, k in found if k is not None]
-        if not ending or ending[0][0] > 1:
-            ending.insert(0, (1, model.unknown))
-        edges.append(ending)
-        best.append(max(best[j - m] + score for m, score in ending))
-    # Backward from the end: what is ahead costs exactly ``best``, so the first to arrive is best.
-    heap = [(-best[length], 0, 0.0, length, None)]
-    out, pushed = [], 0
+        k = find(form[j - 1 : j])
+        most = best[j - 1] + (model.unknown if k is None else scores[k])
+        for m in range(2, min(j, longest) + 1):
+            k = find(form[j - m : j])
+            if k is not None and best[j - m] + scores[k] > most:
+                most = best[j - m] + scores[k]
+        best[j] = most
+
+    def ways_to(j: int) -> list[tuple[float, int, float]]:
+        """The last pieces of a prefix: the best score with each, its length and own score."""
+        found = []
+        for m in range(1, min(j, longest) + 1):
+            k = find(form[j - m : j])
+            if k is not None or m == 1:
+                score = model.unknown if k is None else scores[k]
+                found.append((best[j - m] + score, m, score))
+        return sorted(found, reverse=True)
+
+    if not length:
+        return [(0.0, [])]
+    heap: list[tuple] = []
+    taken: dict[int, int] = {}
+    out: list = []
+
+    def push(done: float, j: int, path: tuple | None, ways: list, k: int) -> None:
+        if k < len(ways):
+            total, m, score = ways[k]
+            heapq.heappush(heap, (-(done + total), j - m, len(heap), k, done + score, (j, m), path, ways, done))
+
+    push(0.0, length, None, ways_to(length), 0)
     while heap and len(out) < n:
-        _, _, done, j, path = heapq.heappop(heap)
-        if j == 0:
-            steps = []
-            while path:
-                step, path = path
-                steps.append(step)
-            out.append((done, steps))
+        _, i, _, k, done, step, path, ways, before = heapq.heappop(heap)
+        push(before, step[0], path, ways, k + 1)
+        if taken.get(i, 0) >= n:
+            continue
+        taken[i] = taken.get(i, 0) + 1
+        path = (step, path)
+        if i:
+            push(done, i, path, ways_to(i), 0)
             continue
-        for m, score in edges[j]:
-            pushed += 1
-            total = done + score
-            heapq.heappush(heap, (-(total + best[j - m]), pushed, total, j - m, ((j, m), path)))
+        steps = []
+        while path:
+            step, path = path
+            steps.append(step)
+        out.append((done, steps))
     return out
 
 
-def piece_ids(word: str, steps: list[tuple[int, int]], model: PieceModel) -> list[int]:
+def piece_ids(form: str, steps: list[tuple[int, int]], model: PieceModel) -> list[int]:
     """Vocabulary ids of a segmentation; a character without a piece gives its bytes."""
-    form = lattice_form(word)
     out: list[int] = []
     for j, m in steps:
         piece = model.index.get(form[j - m : j])
         if piece is None:
-            out.extend(model.byte_ids[list(word[j - 1].encode())].tolist())
+            out.extend(model.byte_ids[list(_bytes_of(form[j - 1]))].tolist())
         else:
             out.append(int(model.ids[piece]))
     return out
@@ -141,7 +185,17 @@ class _Segmenter:
         score, gap = np.zeros(len(words)), np.zeros(len(words))
         size, start = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         parts, at = [], len(self.flat)
-        for some, codes in by_length([lattice_form(w) for w in words], self.model.table.max_len):
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        short = np.flatnonzero(lengths <= LONG)
+        for i in np.flatnonzero(lengths > LONG).tolist():
+            found = n_best(words[i], self.model, 2)
+            score[i], gap[i] = found[0][0], found[0][0] - found[1][0] if len(found) > 1 else np.inf
+            own = np.array(piece_ids(words[i], found[0][1], self.model), np.int32)
+            size[i], start[i] = len(own), at
+            at += len(own)
+            parts.append(own)
+        for some, codes in by_length([words[i] for i in short], self.model.table.max_len):
+            some = short[some]
             score[some], gap[some], flat, size[some] = self._block(codes, [words[i] for i in some])
             start[some] = at + np.cumsum(size[some]) - size[some]
             at += len(flat)
@@ -150,7 +204,7 @@ class _Segmenter:
         self.gap = np.concatenate([self.gap, gap])
         self.size = np.concatenate([self.size, size])
         self.start = np.concatenate([self.start, start])
-        self.chars = np.concatenate([self.chars, np.fromiter(map(len, words), np.int64, len(words))])
+        self.chars = np.concatenate([self.chars, lengths])
         self.flat = np.concatenate([self.flat, *parts])
 
     def _block(self, codes: np.ndarray, words: list[str]) -> tuple:
@@ -183,7 +237,7 @@ class _Segmenter:
         found = ids[rows, ends - 1, on_path[rows, ends] - 1]
         flat = np.where(found >= 0, model.ids[found], -1)
         if (lost := np.flatnonzero(found < 0)).size:
-            raw = [words[rows[k]][ends[k] - 1].encode() for k in lost]
+            raw = [_bytes_of(words[rows[k]][ends[k] - 1]) for k in lost]
             times = np.ones(len(found), np.int64)
             times[lost] = [len(b) for b in raw]
             flat, rows = np.repeat(flat, times), np.repeat(rows, times)
@@ -206,10 +260,19 @@ class _Encoder:
             self.alternatives[word] = [(s - found[0][0], piece_ids(word, p, self.model)) for s, p in found]
         return self.alternatives[word]
 
-    def _ranked(self, words: list[str], numbers: np.ndarray, score: float, pieces: int) -> list[dict]:
-        gaps = self.words.gap[numbers]
-        near = np.argsort(gaps, kind="stable") if len(gaps) <= self.n else np.argpartition(gaps, self.n - 1)
-        near = sorted(i for i in near[: self.n - 1].tolist() if np.isfinite(gaps[i]))
+    def _near(self, gaps: np.ndarray) -> list[int]:
+        """The ``n - 1`` words whose second best is nearest, the first ones of equally near."""
+        few = self.n - 1
+        if len(gaps) > few > 0:
+            limit = np.partition(gaps, few - 1)[few - 1]
+            nearer = np.flatnonzero(gaps < limit)
+            near = np.concatenate([nearer, np.flatnonzero(gaps == limit)[: few - len(nearer)]])
+        else:
+            near = np.arange(len(gaps))[: max(few, 0)]
+        return sorted(near[np.isfinite(gaps[near])].tolist())
+
+    def _ranked(self, words: list[str], numbers: np.ndarray, score: float, pieces: int) -> list[tuple]:
+        near = self._near(self.words.gap[numbers])
         ends = np.cumsum(self.words.chars[numbers])
         ways: list[tuple[float, tuple]] = [(0.0, ())]
         for i in near:
@@ -228,28 +291,59 @@ class _Encoder:
                 own = self._word_list(words[i])[r][1]
                 extra += len(own) - int(self.words.size[numbers[i]])
                 end = int(ends[i]) - 1
-                changes.append({"start": max(0, end - len(words[i])), "end": end, "ids": own})
-            out.append({"score": score + loss, "n_pieces": pieces + extra, "changes": changes})
+                changes.append((max(0, end - len(words[i])), end, own))
+            out.append((score + loss, pieces + extra, changes))
         return out
 
-    def __call__(self, texts: list[str]) -> dict:
-        split = [WORDS.findall(" " + t) if t else [] for t in texts]
+    def __call__(self, texts: list[str]) -> "Encoded":
+        split = [WORDS.findall(lattice_form(" " + t)) if t else [] for t in texts]
         flat = self.words.numbers([w for ws in split for w in ws])
         sizes = self.words.size[flat]
         ends = np.cumsum([len(ws) for ws in split])
         ids = self.words.flat[np.repeat(self.words.start[flat] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
-        made = np.append(0, np.cumsum(sizes))
-        out: dict = {"ids": [], "n_pieces": [], "score": [], "nbest": []}
-        for ws, end in zip(split, ends.tolist(), strict=True):
-            first = end - len(ws)
-            numbers = flat[first:end]
-            own = ids[made[first] : made[end]]
-            score = float(self.words.score[numbers].sum())
-            out["ids"].append(own)
-            out["n_pieces"].append(len(own))
-            out["score"].append(score)
-            out["nbest"].append(self._ranked(ws, numbers, score, len(own)))
-        return out
+        made = np.append(0, np.cumsum(sizes))[np.append(0, ends)]
+        scores, nbest = [], []
+        for t, (ws, end) in enumerate(zip(split, ends.tolist(), strict=True)):
+            numbers = flat[end - len(ws) : end]
+            scores.append(float(self.words.score[numbers].sum()))
+            nbest.append(self._ranked(ws, numbers, scores[-1], int(made[t + 1] - made[t])))
+        return Encoded(ids, made, scores, nbest)
+
+
+class Encoded(NamedTuple):
+    """``ids`` of all texts, one after the other, and where each text's end; the best scores, and
+    the segmentations as ``(score, n_pieces, changes)`` with changes ``(start, end, ids)``."""
+
+    ids: np.ndarray
+    ends: np.ndarray
+    scores: list[float]
+    nbest: list[list[tuple]]
+
+    def arrays(self) -> list[pa.Array]:
+        def listed(sizes: list[int], inner: pa.Array) -> pa.ListArray:
+            return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), inner)
+
+        def struct(**columns: pa.Array) -> pa.StructArray:
+            return pa.StructArray.from_arrays(list(columns.values()), list(columns))
+
+        ways = [way for text in self.nbest for way in text]
+        changes = [change for way in ways for change in way[2]]
+        changed = struct(
+            start=pa.array([c[0] for c in changes], pa.int32()),
+            end=pa.array([c[1] for c in changes], pa.int32()),
+            ids=listed([len(c[2]) for c in changes], pa.array([i for c in changes for i in c[2]], pa.int32())),
+        )
+        best = struct(
+            score=pa.array([w[0] for w in ways], pa.float64()),
+            n_pieces=pa.array([w[1] for w in ways], pa.int64()),
+            changes=listed([len(w[2]) for w in ways], changed),
+        )
+        return [
+            pa.ListArray.from_arrays(pa.array(self.ends.astype(np.int32)), pa.array(self.ids, pa.int32())),
+            pa.array(np.diff(self.ends), pa.int64()),
+            pa.array(self.scores, pa.float64()),
+            listed([len(text) for text in self.nbest], best),
+        ]
 
 
 ENCODED = (
@@ -267,29 +361,26 @@ def encode(
     fewer), best first: the score, the number of pieces, and the words in which it differs from
     the best, as the start and end of their characters and their ids (with the space before
     them; that of the first word is not in the text). Equal scores are ordered by the place of
-    the change. A null text is an empty one: no ids, and one segmentation of score 0. Other
-    columns are ignored; an empty table gives an empty result.
+    the change. A null text is an empty one: no ids, and one segmentation of score 0. Texts of any
+    length are encoded whole, about a million characters at a time in a task, and so are words without a space in
+    them. Rows that repeat an id are encoded one by one. Other columns are ignored; an empty table gives an empty result.
     """
     session = docs.sparkSession
     model = load_model(path)
     state = session.sparkContext.broadcast(vars(model) | {"table": vars(model.table)})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = PieceTable.of(state.value["table"])
         encoder = _Encoder(PieceModel(**state.value | {"table": table}), n)
-        for pdf in batches:
-            for first, block in blocks(pdf["text"], 1_000_000):
-                out = pd.DataFrame(encoder(block))
-                out.insert(0, "doc_id", pdf["doc_id"].iloc[first : first + len(block)].to_numpy())
-                yield out
+        names = ["doc_id", "ids", "n_pieces", "score", "nbest"]
+        for batch in batches:
+            for first, block in blocks(values(batch["text"]), 1_000_000):
+                own = batch["doc_id"].slice(first, len(block))
+                yield pa.RecordBatch.from_arrays([own, *encoder(block).arrays()], names)
 
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    # An integer column with nulls would reach pandas as floats; a string carries any id whole.
-    kind = plain.schema["doc_id"].dataType
-    fields = [StructField("doc_id", plain.select(F.col("doc_id").cast("string")).schema[0].dataType)]
-    schema = StructType(fields + StructType.fromDDL(ENCODED).fields)
-    done = plain.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, schema)
-    return done.withColumn("doc_id", F.col("doc_id").cast(kind))
+    schema = StructType([plain.schema["doc_id"], *StructType.fromDDL(ENCODED).fields])
+    return plain.mapInArrow(run, schema)
 
 
 def decoded(docs: DataFrame, ids: Column, path: str = VOCABULARY) -> Column:
@@ -297,20 +388,18 @@ def decoded(docs: DataFrame, ids: Column, path: str = VOCABULARY) -> Column:
     null one the replacement character; so do bytes that are no UTF-8."""
     texts = docs.sparkSession.sparkContext.broadcast(load_model(path).texts)
 
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         # The last entry stands for ids that are not in the vocabulary.
         known = np.array([*texts.value, REPLACEMENT], object)
         for batch in batches:
+            flat = batch.values.fill_null(-1).to_numpy(zero_copy_only=False)
+            flat = np.where((flat < 0) | (flat >= len(known)), -1, flat)
+            ends, empty = batch.offsets.to_numpy(), batch.is_null().to_numpy(zero_copy_only=False)
             out = []
-            for own in batch:
-                if own is None:
-                    out.append(None)
-                    continue
-                ids = np.where(np.isnan(own), -1, own).astype(np.int64) if own.dtype.kind == "f" else own
-                ids = np.where((ids < 0) | (ids >= len(known)), -1, ids)
-                raw = b"".join(known[ids])
-                out.append(raw[raw.startswith(b" ") :].decode(errors="replace"))
-            yield pd.Series(out, dtype=object)
+            for i in range(len(batch)):
+                raw = b"".join(known[flat[ends[i] : ends[i + 1]]])
+                out.append(None if empty[i] else raw[raw.startswith(b" ") :].decode(errors="replace"))
+            yield pa.array(out, pa.string())
 
     return run(ids)

@@ -1,5 +1,7 @@
 import itertools
 import random
+import time
+import tracemalloc
 
 import pytest
 import sentencepiece
@@ -44,7 +46,7 @@ def segmentations(form, model):
 @pytest.mark.parametrize("word", [" the", " others", "\n", "a", " 漢x", " $$$", "   ", " ▁a", "internat"])
 def test_word_against_all_segmentations(model, word):
     want = sorted((-s, cut) for s, cut in segmentations(lattice_form(word), model))[:6]
-    got = n_best(word, model, 6)
+    got = n_best(lattice_form(word), model, 6)
     assert [s for s, _ in got] == pytest.approx([-s for s, _ in want])
     for s, steps in got:
         assert sum(m for _, m in steps) == len(word)
@@ -53,10 +55,10 @@ def test_word_against_all_segmentations(model, word):
 @pytest.mark.parametrize("text", ["a b", "to be", "x\ny", " is it", "en la", "漢 a"])
 def test_text_against_all_segmentations(model, text):
     n = 5
-    per_word = [list(segmentations(lattice_form(w), model)) for w in WORDS.findall(" " + text)]
+    per_word = [list(segmentations(w, model)) for w in WORDS.findall(lattice_form(" " + text))]
     totals = sorted((-sum(s for s, _ in way), sum(len(c) for _, c in way)) for way in itertools.product(*per_word))[:n]
-    got = _Encoder(model, n)([text])["nbest"][0]
-    assert [g["score"] for g in got] == pytest.approx([-t for t, _ in totals])
+    got = _Encoder(model, n)([text]).nbest[0]
+    assert [g[0] for g in got] == pytest.approx([-t for t, _ in totals])
 
 
 def test_best_scores_of_the_library(model, library):
@@ -69,8 +71,8 @@ def test_best_scores_of_the_library(model, library):
         found = library.nbest_encode(text, nbest_size=4)
         want = [sum(score[i] for i in ids) for ids in found]
         got = encoder([text])
-        assert [g["score"] for g in got["nbest"][0]] == pytest.approx(want, abs=1e-3)
-        assert sum(score[i] for i in got["ids"][0].tolist()) == pytest.approx(want[0], abs=1e-3)
+        assert [g[0] for g in got.nbest[0]] == pytest.approx(want, abs=1e-3)
+        assert sum(score[i] for i in got.ids.tolist()) == pytest.approx(want[0], abs=1e-3)
 
 
 def test_round_trip_and_alternatives(spark, model):
@@ -107,4 +109,37 @@ def test_memory_of_words_does_not_change_results(model):
     small.words.numbers._limit = 1  # starts anew all the time
     for t in texts:
         a, b = small([t]), large([t])
-        assert a["ids"][0].tolist() == b["ids"][0].tolist() and a["nbest"] == b["nbest"]
+        assert a.ids.tolist() == b.ids.tolist() and a.nbest == b.nbest
+
+
+@pytest.mark.parametrize("word", ["aaaaaaaa", "abababab", "        ", "=========", "a b"])
+def test_ties_against_all_segmentations(model, word):
+    """Exact scores, each way once, and of equal scores the longest last piece first."""
+    ways = [(-s, [-m for m in reversed(cut)]) for s, cut in segmentations(lattice_form(word), model)]
+    for n in (1, 4, 9):
+        got = n_best(lattice_form(word), model, n)
+        assert [s for s, _ in got] == [-s for s, _ in sorted(ways)[:n]]
+        assert len({tuple(steps) for _, steps in got}) == len(got)
+
+
+@pytest.mark.parametrize("word", [" " * 100_000, "a" * 100_000, "ab" * 50_000, "x = 1" + " " * 1_000 + "y", "ƕ" * 50_000])
+def test_long_tied_words(model, word):
+    started = time.perf_counter()
+    got = _Encoder(model, 4)([word])
+    seconds = time.perf_counter() - started
+    tracemalloc.start()
+    n_best(lattice_form(word[:20_000]), model, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got.nbest[0]) == (1 if "ƕ" in word else 4)
+    assert b"".join(model.texts[i] for i in got.ids).decode() == " " + word
+    # The work and the memory grow with the length alone.
+    assert seconds < 8 and peak < 40e6
+
+
+def test_long_words_as_short_ones(model, monkeypatch):
+    texts = ["internationalization of the naïve ▁ 漢字 aaaaaaa        b", "x" * 90]
+    want = _Encoder(model, 4)(texts)
+    monkeypatch.setattr("tallygraph.llm.pieces.LONG", 3)
+    got = _Encoder(model, 4)(texts)
+    assert got.scores == want.scores and [[w[0] for w in t] for t in got.nbest] == [[w[0] for w in t] for t in want.nbest]
