@@ -22,9 +22,7 @@ from tallygraph.llm.lattice import PieceTable, WordNumbers, blocks, by_length, v
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN = "und"
 START = "▁"
-# A letter is what ``str.isalpha`` takes for one: of the word characters, no number of any kind.
-NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha())
-LETTERS = re.compile(f"[^\\W_{NUMBERS}]+")
+LETTERS = re.compile(r"[^\W\d_]+")
 # Below this, forward sums of long words are scaled up.
 TINY, SCALE = 1e-100, 1e100
 
@@ -50,8 +48,18 @@ def letter_pieces(path: str = VOCABULARY) -> list[str]:
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters, lower-cased, each with a word start. Other characters do not count."""
-    return [START + w for w in LETTERS.findall(text.lower())]
+    """Runs of letters, lower-cased, each with a word start. Other characters do not count.
+
+    The pattern also takes signs that stand for numbers, such as a half or a raised two. Runs that
+    have one, which are few, are cut there.
+    """
+    out = []
+    for run in LETTERS.findall(text.lower()):
+        if run.isalpha():
+            out.append(START + run)
+        else:
+            out += [START + w for w in "".join(c if c.isalpha() else " " for c in run).split()]
+    return out
 
 
 @F.arrow_udf(ArrayType(StringType()))
