@@ -1,10 +1,12 @@
 """PageRank with a fixed number of steps, and ranking."""
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+import uuid
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
 
+from tallygraph.operators.blocks import BLOCK, TILE_LINKS, constant_vector, number_pages, step, values_of, write_tiles
 from tallygraph.operators.skew import (
     HEAVY_ROWS,
     heavy_keys,
@@ -14,14 +16,14 @@ from tallygraph.operators.skew import (
     key_salts,
     shuffle_partitions,
 )
-from tallygraph.staging import Staging, checkpoint_root, drop_checkpoint, staging
+from tallygraph.staging import Staging, checkpoint_root, staging
 
 # Fixed values of the ranking model.
 DAMPING = 0.85
 ITERATIONS = 10
 
-# Steps planned as one job before the ranks are checkpointed.
-STEPS_PER_CHECKPOINT = 3
+# Steps run as one job before the ranks are stored.
+STEPS_PER_VECTOR = 5
 
 
 def _received(sent: DataFrame) -> DataFrame:
@@ -70,77 +72,59 @@ def pagerank_step(
     return _next_ranks(nodes.select("id").distinct(), contributions, damping, "id")
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """Persist and fill at once: only a filled table shows its partitioning to the
-    planner, which then leaves out the shuffle and sort on its side of a join."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    df.count()
-    return df
+def _loop_session(spark: SparkSession) -> SparkSession:
+    """A session for the steps, with settings of its own. Their plan is known beforehand, so each job
+    runs it whole instead of one job per shuffle; their rows are wide, so few go to Python at once."""
+    session = spark.newSession()
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        session.conf.set(name, spark.conf.get(name))
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    return session
+
+
+class _Graph(NamedTuple):
+    """A stored graph: pages by number, tiles of links, and the parts of each block's links."""
 
+    pages: DataFrame
+    tiles: DataFrame
+    parts: DataFrame
+    size: int
+    table: str
 
-def _lay_out(
-    nodes: DataFrame, edges: DataFrame, area: Staging, heavy_rows: int
-) -> tuple[DataFrame, DataFrame, bool]:
-    """Pages partitioned by ``page`` and links by ``src``, the same way, once for all steps.
 
-    Pages without integer ids are numbered, as names would make every stored link and
-    every row of every step several times larger. The numbers are fixed by storing them. Links to
-    unknown pages count in the out-degree but carry rank nowhere, so they are left out.
-    If some page has so many links that it would overload one task, the links are
-    partitioned by ``(src, salt)`` instead.
+def _lay_out(nodes: DataFrame, edges: DataFrame, area: Staging, heavy_rows: int, session: SparkSession) -> _Graph:
+    """Number the pages and store the links as a table of tiles, bucketed for the steps.
+
+    Each link weighs its share of its page's rank. Links to unknown pages count in that share
+    but carry rank nowhere, so they are left out. Heavy pages take no shuffle by their id here.
     """
-    named = not isinstance(nodes.schema["id"].dataType, IntegralType)
-    page = F.monotonically_increasing_id() if named else F.col("id").cast("bigint")
-    nodes = area.table(nodes.select("id").distinct().withColumn("page", page), "nodes")
-    ends = [F.col(end) if named else F.col(end).cast("bigint").alias(end) for end in ("src", "dst")]
-    edges = area.table(edges.select(*ends, "multiplicity"), "edges")
+    pages, size = number_pages(nodes, area)
+    edges = area.table(edges.select("src", "dst", "multiplicity"), "edges")
     total = edges.count()
-    degree = edges.groupBy(F.col("src").alias("id")).agg(
-        F.sum("multiplicity").alias("out_degree"), F.count("*").alias("targets")
+    degree = edges.groupBy("src").agg(F.sum("multiplicity").alias("out_degree"), F.count("*").alias("targets"))
+    sources = area.table(
+        degree.join(pages, F.col("src") == F.col("id")).select("src", "page", "out_degree", "targets"), "sources"
+    )
+    heavy, _ = heavy_keys(sources, "targets", total, heavy_rows)
+    known = join_spread(edges, pages.toDF("dst", "dst_page"), "dst", "inner", heavy_rows, total)
+    source = sources.select("src", F.col("page").alias("src_page"), "out_degree")
+    linked = join_split(known, source, "src", "inner", None if heavy is None else heavy.select("src"))
+    links = linked.select(
+        F.col("src_page").alias("src"),
+        F.col("dst_page").alias("dst"),
+        (F.col("multiplicity") / F.col("out_degree")).alias("weight"),
     )
-    # Stored, as the maximum, the heavy pages and the page table all read it.
-    degree = area.table(degree, "degree")
-    heavy, limit = heavy_keys(degree, "targets", total, heavy_rows)
-    salts = F.ceil(F.col("targets") / F.lit(limit)).cast("int").alias("salts")
-    pages = nodes.join(degree, "id", "left").select("page", "id", "out_degree", salts)
-
-    if named:
-        heavy_src = None if heavy is None else heavy.select(F.col("id").alias("src"))
-        known = join_spread(edges, nodes.toDF("dst", "dst_page"), "dst", "inner", heavy_rows, total)
-        links = join_split(known, nodes.toDF("src", "src_page"), "src", "inner", heavy_src).select(
-            F.col("src_page").alias("src"), F.col("dst_page").alias("dst"), "multiplicity"
-        )
-    else:
-        known = nodes.select(F.col("page").alias("dst"))
-        links = join_spread(edges, known, "dst", "left_semi", heavy_rows, total)
-    keys = ["src"]
-    if heavy is not None:
-        hubs = nodes.join(F.broadcast(heavy.select("id", salts)), "id")
-        hubs = hubs.select(F.col("page").alias("src"), "salts")
-        salt = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int"), F.lit(0))
-        links = links.join(F.broadcast(hubs), "src", "left").select(
-            "src", salt.alias("salt"), "dst", "multiplicity"
-        )
-        keys = ["src", "salt"]
-
-    partitions = shuffle_partitions(edges.sparkSession)
-    pages = _stored(pages.repartition(partitions, "page").sortWithinPartitions("page"))
-    links = _stored(links.repartition(partitions, *keys).sortWithinPartitions(*keys))
-    return pages, links, heavy is not None
-
-
-def _spread_shares(ranks: DataFrame, links: DataFrame, salted: bool) -> DataFrame:
-    share = (F.col("rank") / F.col("out_degree")).alias("share")
-    if salted:
-        # A page with many links hands its share to each of its salts.
-        salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
-        shares = ranks.where(F.col("out_degree") > 0).select(F.col("page").alias("src"), share, salt)
-        sent = links.join(shares.hint("merge"), ["src", "salt"])
-    else:
-        shares = ranks.where(F.col("out_degree") > 0).select(F.col("page").alias("src"), share)
-        # The tables are partitioned and sorted for this, so a merge join moves nothing.
-        sent = links.join(shares.hint("merge"), "src")
-    return _received(sent)
+    limit = max(TILE_LINKS, total // shuffle_partitions(edges.sparkSession))
+    blocks = sources.groupBy((F.col("page") / BLOCK).cast("long").alias("block")).agg(F.sum("targets").alias("links"))
+    # One row per block of pages: a 65,536th of their number.
+    parts = [(row["block"], -(-row["links"] // limit)) for row in blocks.collect()]
+    buckets = max(1, min(shuffle_partitions(edges.sparkSession), sum(n for _, n in parts)))
+    kind, table = "block long, parts int", f"tiles_{uuid.uuid4().hex}"
+    write_tiles(links, edges.sparkSession.createDataFrame(parts, kind), buckets, area.path("tiles"), table)
+    # As many partitions as buckets, so that the tiles stay where they are.
+    session.conf.set("spark.sql.shuffle.partitions", str(buckets))
+    return _Graph(pages, session.table(table), session.createDataFrame(parts, kind), size, table)
 
 
 def pagerank(
@@ -154,32 +138,30 @@ def pagerank(
     """``(id, rank)`` after ``iterations`` steps from ``1 / n``.
 
     ``nodes(id)`` are the known pages, ``edges(src, dst, multiplicity)`` all links.
-    ``n`` defaults to the number of known pages. Runs its jobs when called: the
-    graph is staged and laid out once, each step then shuffles the received sums
-    only, and the result is a checkpoint that needs none of the working tables.
+    ``n`` defaults to the number of known pages. Runs its jobs when called: the graph is staged
+    once as a bucketed table of tiles, each step then moves the ranks and the received sums as
+    arrays, and the result is a checkpoint that needs none of the working tables. Nothing lives in
+    executors alone: a lost one costs the steps since the last stored vector.
     """
     if iterations < 0:
         raise ValueError("iterations must not be negative")
-    checkpoint_root(nodes.sparkSession)
-    with staging(nodes.sparkSession) as area:
-        pages, links, salted = _lay_out(nodes, edges, area, heavy_rows)
+    spark = nodes.sparkSession
+    checkpoint_root(spark)
+    session = _loop_session(spark)
+    with staging(spark) as area:
+        graph = _lay_out(nodes, edges, area, heavy_rows, session)
         try:
-            ranks = initial_ranks(pages, pages.count() if n is None else n)
-            stored = None
-            for step in range(1, iterations + 1):
-                ranks = _next_ranks(pages, _spread_shares(ranks, links, salted), damping)
-                if step % STEPS_PER_CHECKPOINT == 0 and step < iterations:
-                    ranks, before = ranks.drop("id").checkpoint(), stored
-                    if before is not None:
-                        drop_checkpoint(before)
-                    stored = ranks
-            result = ranks.select("id", "rank").checkpoint()
-            if stored is not None:
-                drop_checkpoint(stored)
-            return result
+            ranks = constant_vector(session, graph.size, 1.0 / max(graph.size if n is None else n, 1))
+            for done in range(1, iterations + 1):
+                ranks = step(graph.tiles, graph.parts, ranks, graph.size, damping)
+                if done % STEPS_PER_VECTOR == 0 or done == iterations:
+                    ranks = area.table(ranks, f"ranks{done}")
+            # In the caller's session, where the result belongs.
+            start = constant_vector(spark, graph.size, 1.0 / max(graph.size if n is None else n, 1))
+            values = values_of(area.read(f"ranks{iterations}") if iterations else start)
+            return graph.pages.join(values, "page").select("id", F.col("x").alias("rank")).checkpoint()
         finally:
-            links.unpersist()
-            pages.unpersist()
+            session.sql(f"DROP TABLE IF EXISTS {graph.table}")
 
 
 def rank_order(ranks: DataFrame) -> DataFrame:

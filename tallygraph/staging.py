@@ -52,7 +52,11 @@ class Staging:
         """Write ``df`` as Parquet and return the stored table: short lineage, and
         later passes read only the columns they use."""
         df.write.parquet(self.path(name))
-        return self._spark.read.schema(df.schema).parquet(self.path(name))
+        return df.sparkSession.read.schema(df.schema).parquet(self.path(name))
+
+    def read(self, name: str) -> DataFrame:
+        """A stored table again, in the session of the area, whichever wrote it."""
+        return self._spark.read.parquet(self.path(name))
 
     def drop(self) -> None:
         _delete(self._spark, self.root)

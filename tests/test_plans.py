@@ -18,7 +18,7 @@ from tallygraph.operators import (
     word_count,
     word_count_of_rows,
 )
-from tallygraph.operators import rank
+from tallygraph.operators import blocks, rank
 from tallygraph.operators.skew import key_salts
 from tallygraph.plans import retrieval as plans
 from tallygraph.sources import read_scores, write_scores
@@ -140,28 +140,44 @@ def test_pagerank_step_shuffles_the_links_once(spark, executed_plan, no_broadcas
     assert ("BroadcastHashJoin [src" in plan) == (heavy_rows == 1)
 
 
-@pytest.mark.parametrize("heavy_rows", [1_000_000, 1])
-def test_loop_shuffles_received_sums_only(spark, executed_plan, heavy_rows):
+@pytest.mark.parametrize("tile_links", [1 << 17, 500])
+def test_loop_moves_vectors_and_sums_only(spark, executed_plan, monkeypatch, tile_links):
+    monkeypatch.setattr(rank, "TILE_LINKS", tile_links)
     edges, nodes = basket_edges(spark, SMALL), parts(spark, SMALL)
     hub = edges.unionByName(nodes.selectExpr("0L AS src", "id AS dst", "1L AS multiplicity"))
-    hub = hub.unionByName(spark.range(3000).selectExpr("0L AS src", "id + 1000000 AS dst", "1L AS multiplicity"))
-    hub = hub.groupBy("src", "dst").agg(F.sum("multiplicity").alias("multiplicity"))
+    session = rank._loop_session(spark)
     with staging(spark) as area:
-        pages, links, salted = rank._lay_out(nodes, hub, area, heavy_rows)
-        assert salted == (heavy_rows == 1)
-        ranks = pages.withColumn("rank", F.lit(0.1))
+        graph = rank._lay_out(nodes, hub, area, 1_000_000, session)
+        vector = blocks.constant_vector(session, graph.size, 0.1)
         for _ in range(2):
-            ranks = rank._next_ranks(pages, rank._spread_shares(ranks, links, salted), 0.85)
-        plan = without_cached_subtrees(executed_plan(ranks))
-        sizes = links.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
-        links.unpersist()
-        pages.unpersist()
-    found = exchanges(plan)
-    assert sum(keys.startswith("hashpartitioning(dst") for keys in found) == 2
-    # The salted layout also moves one small row per page and salt.
-    assert len(found) == (4 if salted else 2)
-    assert "FileScan" not in plan and "Broadcast" not in plan
-    assert not salted or sizes[0] < sizes[1] / 2
+            vector = blocks.step(graph.tiles, graph.parts, vector, graph.size, 0.85)
+        spark.catalog.clearCache()
+        plan = executed_plan(vector)
+        links = graph.tiles.select(F.sum(F.size("src")), F.max(F.size("src"))).first()
+        session.sql(f"DROP TABLE {graph.table}")
+    # The tiles are read in their buckets: what is shuffled are the ranks that go to them, and the sums.
+    assert plan.count("Bucketed: true") == 2
+    assert not re.search(r"Exchange[^\n]*\n[^\n]*Scan parquet", plan)
+    assert sum("src_block" in keys for keys in exchanges(plan)) <= 2 and len(exchanges(plan)) <= 4
+    assert "InMemoryTableScan" not in plan and "SortMergeJoin" not in plan
+    # No tile is larger than the limit, nor is a block's share of links in one part, but for uneven hashes.
+    assert links[0] > 1000 and (tile_links > 500 or links[1] <= 1000)
+
+
+def test_jobs_of_the_loop(spark, tmp_path):
+    """A step adds no job, and all ten take few."""
+    basket_edges(spark, SMALL).write.parquet(str(tmp_path / "edges"))
+    edges, nodes = spark.read.parquet(str(tmp_path / "edges")), parts(spark, SMALL)
+
+    def jobs(steps):
+        group = f"steps-{steps}"
+        spark.sparkContext.setJobGroup(group, group)
+        rank.pagerank(nodes, edges, iterations=steps)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    few, many = jobs(1), jobs(10)
+    assert many <= few + 3 and many < 32
 
 
 def test_top_pages_does_not_sort_everything(spark, executed_plan):
