@@ -1,3 +1,5 @@
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +53,26 @@ def write_betas(betas: DataFrame, path: str, mode: str = "errorifexists") -> Non
 def read_betas(spark: SparkSession, path: str) -> DataFrame:
     """``(term, beta)`` as written by ``write_betas``."""
     return read_ranked(spark, path).toDF("term", "beta")
+
+
+def write_named(rows: DataFrame, path: str, name_col: str, value_col: str) -> None:
+    """Lines of text into one file for each name, which becomes the name of the file.
+
+    The names must be few, as each is one file, written by one task, and moved in its folder by the
+    driver. They are kept as they are; a name with a slash is an error.
+    """
+    spark = rows.sparkSession
+    lines = rows.select(F.col(name_col).alias("name"), F.col(value_col).alias("value"))
+    if not lines.where(F.contains("name", F.lit("/"))).isEmpty():
+        raise ValueError("a file name cannot have a slash")
+    lines.repartition("name").write.partitionBy("name").text(path)
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = files.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for entry in system.listStatus(folder):
+        if not entry.isDirectory():
+            continue
+        name = unquote(entry.getPath().getName().removeprefix("name="))
+        for part in system.listStatus(entry.getPath()):
+            system.rename(part.getPath(), files.Path(folder, name))
+        system.delete(entry.getPath(), True)

@@ -1,6 +1,6 @@
 """The same results in plain SQL."""
 
-from tallygraph.workload.queries import FEATURES, TERMS
+from tallygraph.workload.queries import FEATURES, GROUPS, TERMS
 
 PADDING = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
 
@@ -235,4 +235,17 @@ ORACLES: dict[str, str] = {
     "ols_from_csv": least_squares(FEATURES[:2])
     .replace("'l_quantity'", "'x1'")
     .replace("'l_discount'", "'x2'"),
+    "ols_group_indicators": f"""
+        WITH means AS (SELECT l_orderkey % {GROUPS} AS k, avg(l_extendedprice) AS mean FROM lineitem GROUP BY 1)
+        SELECT CASE WHEN k = 0 THEN 'intercept' ELSE 'g' || k END AS term,
+               round(CASE WHEN k = 0 THEN mean ELSE mean - (SELECT mean FROM means WHERE k = 0) END, 4) AS beta
+        FROM means""",
+    "bad_csv_records": """
+        SELECT CASE WHEN l_linenumber = 2 THEN l_orderkey || ',' || l_linenumber
+                    ELSE l_orderkey || ',none,' || l_linenumber END AS record
+        FROM lineitem WHERE l_linenumber IN (2, 3)""",
+    "documents_from_files": """
+        SELECT lang AS doc_id, sum(length(text) - length(replace(text, chr(10), '')) + 1)::BIGINT AS n_lines,
+               sum(length(replace(text, chr(10), '')))::BIGINT AS n_chars
+        FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL GROUP BY lang""",
 }

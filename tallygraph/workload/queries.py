@@ -11,11 +11,14 @@ from tallygraph.functions import page_title
 from tallygraph.operators.skew import join_spread
 from tallygraph.plans import count_words, fit_csv, rank_lines, score_documents, search_documents
 from tallygraph.sources import (
+    bad_csv_rows,
     read_betas,
+    read_documents,
     read_lines,
     read_ranked,
     read_scores,
     write_betas,
+    write_named,
     write_ranked,
     write_scores,
     write_tsv,
@@ -35,6 +38,7 @@ from tallygraph.workload.inputs import (
 # Terms of the search queries.
 TERMS = ["the", "With", "der", "the"]
 FEATURES = ["l_quantity", "l_discount", "l_tax"]
+GROUPS = 15
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -289,3 +293,48 @@ def ols_stored_betas(spark, sf_dir):
     with staging(spark) as area:
         write_betas(op.fit_ols(prices(spark, sf_dir), "l_extendedprice", FEATURES), area.path("betas"))
         return read_betas(spark, area.path("betas")).select("term", rounded("beta")).checkpoint()
+
+
+@query
+def ols_group_indicators(spark, sf_dir):
+    """Fourteen features, one for each group but the first: the wide path."""
+    rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_extendedprice")
+    marks = [f"g{k}" for k in range(1, GROUPS)]
+    design = rows.select(
+        "l_extendedprice",
+        *[(F.col("l_orderkey") % GROUPS == k).cast("double").alias(name) for k, name in enumerate(marks, 1)],
+    )
+    return op.fit_ols(design, "l_extendedprice", marks).select("term", rounded("beta", 4))
+
+
+# Files
+
+
+@query
+def bad_csv_records(spark, sf_dir):
+    """Rows written as text, some with too few fields or a word among the numbers, and found again."""
+    checkpoint_root(spark)
+    with staging(spark) as area:
+        rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        written = (
+            F.when(F.col("l_linenumber") == 2, F.concat_ws(",", "l_orderkey", "l_linenumber"))
+            .when(F.col("l_linenumber") == 3, F.concat_ws(",", "l_orderkey", F.lit("none"), "l_linenumber"))
+            .otherwise(F.concat_ws(",", "l_orderkey", "l_partkey", "l_suppkey"))
+        )
+        rows.select(written.alias("value")).write.text(area.path("rows"))
+        return bad_csv_rows(spark, area.path("rows"), ["a", "b", "c"]).select("record").checkpoint()
+
+
+@query
+def documents_from_files(spark, sf_dir):
+    """Documents written as files in two folders and read back by the names of the files. Files
+    of one name in both folders are one document, so the lines of a text come together again."""
+    checkpoint_root(spark)
+    with staging(spark) as area:
+        docs = table(spark, sf_dir, "documents", "lang", "text").where("text IS NOT NULL AND lang IS NOT NULL")
+        lines = docs.select("lang", F.posexplode(F.split(F.regexp_replace("text", "\r", " "), "\n")).alias("at", "value"))
+        for folder, odd in (("even", 0), ("odd", 1)):
+            write_named(lines.where(F.col("at") % 2 == odd), area.path(folder), "lang", "value")
+        found = read_documents(spark, f"{area.path('even')},{area.path('odd')}")
+        counts = found.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum(F.length("text")).alias("n_chars"))
+        return counts.checkpoint()
