@@ -1,6 +1,7 @@
 """Best-fit packing of sequences into bins of several permitted sizes.
 
-Sequences are dealt over shards of bounded size by a hash; each shard is packed in one task.
+Sequences are dealt over shards of bounded size by a hash, equal ones a few at a time; each shard
+is packed in one task.
 In a shard the longest sequence comes first and goes to the open bin that it fits best. If none
 has room, the permitted size is opened that costs least for what it is expected to hold, so all
 sizes are chosen together with the contents. At the end each bin is cut down to the smallest
@@ -20,11 +21,13 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class PackingParams:
     """``capacities`` are the permitted lengths. A bin of ``c`` tokens costs ``c * (1 + c / dense)``:
-    work that is linear in its length, and attention, which is as dear at ``dense`` tokens."""
+    work that is linear in its length, and attention, which is as dear at ``dense`` tokens. Up to
+    ``together`` equal sequences are dealt to a shard as one."""
 
     capacities: tuple[int, ...] = (2048, 4096, 8192, 16384)
     dense: int = 65_536
     shard_rows: int = 2_000
+    together: int = 32
 
     def cost(self, capacity: int) -> float:
         return capacity * (1 + capacity / self.dense)
@@ -82,9 +85,10 @@ def pack_sequences(
     ``length`` is the number of tokens of a row; null counts as 0. Sequences longer than the
     largest capacity are cut into pieces of it (``start`` is the first token of a piece). A bin is
     named by ``shard`` and ``bin``; ``place`` is where the piece begins in it. An empty sequence
-    is one piece of length 0. Shards are dealt by a hash of id, piece and length, and
-    their number grows with the rows, so copies of a text spread like other rows. Rows that
-    repeat an id are sequences of their own. An empty table gives an empty result.
+    is one piece of length 0. The number of shards grows with the rows. Pieces of equal id, place
+    and length, which can't be told apart, are counted, and every ``together`` of them are dealt by
+    a hash of their own, so rows that repeat an id, or have none, spread like others; each is a
+    sequence of its own. An empty table gives an empty result.
     """
     largest = max(params.capacities)
     lengths = docs.select(
@@ -101,9 +105,19 @@ def pack_sequences(
         (F.col("piece") * largest).alias("start"),
         F.least(F.col("whole") - F.col("piece") * largest, F.lit(largest)).alias("length"),
     )
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(shards)))
+    equal = cut.groupBy("doc_id", "piece", "start", "length").agg(F.count("*").alias("rows"))
+    deal = F.explode(F.sequence(F.lit(0), F.floor((F.col("rows") - 1) / params.together)))
+    dealt = equal.select("*", deal.alias("deal")).select(
+        "doc_id",
+        "piece",
+        "start",
+        "length",
+        F.least(F.col("rows") - F.col("deal") * params.together, F.lit(params.together)).alias("copies"),
+        F.pmod(F.xxhash64("doc_id", "piece", "length", "deal"), F.lit(shards)).alias("shard"),
+    )
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.loc[pdf.index.repeat(pdf["copies"])].drop(columns="copies")
         pdf = pdf.sort_values(["length", "key", "piece"], ascending=[False, True, True], kind="stable")
         placed = pack(pdf["length"].tolist(), params.capacities, params.cost)
         found = pd.DataFrame(placed, columns=["bin", "capacity", "place"])

@@ -84,6 +84,17 @@ def test_table(spark, shard_rows):
     assert pieces == sorted(want)
 
 
+def test_equal_rows_spread_over_shards(spark):
+    params = PackingParams(capacities=SIZES, shard_rows=100)
+    docs = spark.range(5000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(9).alias("n"))
+    rows = pack_sequences(docs, F.col("n"), params=params).toPandas()
+    check_bins(rows, SIZES)
+    assert len(rows) == 5000 and (rows["length"] == 9).all() and rows["doc_id"].isna().all()
+    per_shard = rows.groupby("shard").size()
+    # 50 shards hold 157 deals of 32; a Poisson tail of 13 deals is beyond what a fair hash gives.
+    assert len(per_shard) > 40 and per_shard.max() < 13 * 32
+
+
 def test_large_ids_and_empty_table(spark):
     docs = spark.createDataFrame([(2**62 + 1, 5), (None, 5)], "doc_id long, n int")
     assert {r.doc_id for r in pack_sequences(docs, F.col("n")).collect()} == {2**62 + 1, None}
