@@ -1,6 +1,11 @@
+import html as h
+import re
+import time
+from collections import Counter, defaultdict
+
 import pytest
 
-from tallygraph.llm.pagetext import PageParams, candidates, extract_text, host_of, main_text, parse
+from tallygraph.llm.pagetext import PageParams, candidates, extract_text, host_of, main_text, page_record, parse
 
 
 def text_of(html):
@@ -142,13 +147,85 @@ def test_hosts(spark):
     assert [r[0] for r in df.select(host_of(df.u)).collect()] == ["a.b", "c.d", "e.f", "no url", "", ""]
 
 
-def test_articles_of_the_table(spark):
-    import html as h
-    import re
+def article_text(source):
+    inner = re.search(r"<article>(.*?)</article>", source, re.S).group(1)
+    inner = re.sub(r"<[^>]*>", "", re.sub(r"</?(p|h1|br)>", " ", inner))
+    return " ".join(h.unescape(inner).split())
+
+
+def test_frames_go_by_shape_alone(spark):
+    """Without any list of names: menus, adverts and footers whose texts all differ."""
+    body = "<h1>Title {0}</h1><p>The text of page {0} is longer than what is around it.</p><p>Second paragraph {0}</p>"
+    frame = "<nav><ul>" + "<li><a href='/{0}'>To {0}</a></li>" * 3 + "</ul></nav><div class='box b{0}'>Buy {0}</div><div>{1}</div><footer>Site {0}</footer>"
+    rows = [(i, "http://a.example.com/", frame.format(i, body.format(i))) for i in range(8)]
+    rows += [(10 + i, "http://b.example.com/", frame.format(i, body.format(i))) for i in range(3)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in extract_text(docs, params=PageParams(by_name=False)).collect()}
+    for i in range(8):
+        assert got[i].text == text_of(body.format(i)) and (got[i].n_by_text, got[i].n_by_shape, got[i].n_by_name) == (0, 3, 0)
+    # Three pages are too few to tell.
+    assert all(got[10 + i].text == text_of(f"To {i} " * 3 + f"Buy {i} " + body.format(i) + f" Site {i}") for i in range(3))
+
 
+def test_named_boxes_of_text_stay(spark):
+    """Where the article is made of named boxes that stand in no other, their shape takes none of them."""
+    rows = [(i, "u", "".join(f"<div class=para>Own text {i} {k}</div>" for k in range(i % 5 + 2))) for i in range(20)]
+    got = {r.page_id: r.text for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: text_of(source) for i, _, source in rows}
+
+
+@pytest.mark.parametrize("by_name", [True, False])
+def test_counts_of_the_table_by_brute_force(spark, by_name):
+    """Templates found again by plain counting in Python, and the blocks that they take."""
+    params = PageParams(by_name=by_name)
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = {r.page_id: (r.url.split("/")[2].lower(), page_record(r.html, params), r.html) for r in pages.collect()}
+    mains, seen = defaultdict(set), defaultdict(set)
+    for host, (main, marks, _), _ in rows.values():
+        mains[host].add(main)
+        for m in marks:
+            for digest in {m.by_text, m.by_shape} - {None}:
+                seen[host, digest].add(main)
+    often = {key for key, on in seen.items() if len(on) >= 5 and len(on) >= 0.5 * len(mains[key[0]])}
+    assert often
+    got = {r.page_id: r for r in extract_text(pages, params=params).collect()}
+    assert len(got) == len(rows)
+    for i, (host, (_, marks, _), source) in rows.items():
+        gone = []
+        for m in marks:
+            around = m.up >= 0 and gone[m.up]
+            gone.append(around or ("shape" if (host, m.by_shape) in often else "text" if (host, m.by_text) in often else ""))
+        outer = Counter(g for g, m in zip(gone, marks) if g and not (m.up >= 0 and gone[m.up]))
+        assert (got[i].n_by_shape, got[i].n_by_text) == (outer["shape"], outer["text"])
+        assert got[i].text == article_text(source)
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        "<div>" * 50_000 + "deep" + "</div>" * 50_000,
+        "<nav>menu" + "<div>x" * 50_000,
+        "<b>" * 50_000 + "</i>" * 50_000 + "<p>deep",
+        "<article>" + "<section>a" * 50_000,
+    ],
+    ids=["closed", "open", "inline", "sections"],
+)
+def test_deep_pages(source):
+    start = time.perf_counter()
+    _, marks, parts = page_record(source, PageParams())
+    assert time.perf_counter() - start < 10
+    assert len(marks) <= 50_001 and len(parts) <= 50_001
+
+
+def test_clashing_columns_and_repeated_rows(spark):
+    row = (1, "http://a/x", "<p>one</p>", 7, "often", [1], 3)
+    docs = spark.createDataFrame([row, row, (1, None, None, 7, None, None, None)], "page_id long, url string, html string, host long, often string, up array<int>, main_key long")
+    got = extract_text(docs).collect()
+    assert sorted((r.page_id, r.text) for r in got) == [(1, ""), (1, "one"), (1, "one")]
+
+
+def test_articles_of_the_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r.page_id: r.text for r in extract_text(pages).collect()}
     for r in pages.collect():
-        inner = re.search(r"<article>(.*?)</article>", r.html, re.S).group(1)
-        inner = re.sub(r"<[^>]*>", "", re.sub(r"</?(p|h1|br)>", " ", inner))
-        assert got[r.page_id] == " ".join(h.unescape(inner).split())
+        assert got[r.page_id] == article_text(r.html)
