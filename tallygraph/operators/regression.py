@@ -1,6 +1,11 @@
-"""Ordinary least squares from summed normal equations."""
+"""Ordinary least squares from QR factors, and the sums of the normal equations.
 
-from collections.abc import Iterator, Sequence
+Both go over the table in Arrow batches. A task keeps one small matrix, the size of which
+depends on the number of features only; the matrices of the tasks are merged in a tree.
+"""
+
+import math
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -9,14 +14,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-INTERCEPT = "intercept"
+from tallygraph.operators.skew import shuffle_partitions
 
-# Beyond this many terms the sums would be too many columns for whole-stage code
-# generation, and multiplying Arrow batches as matrices is several times faster.
-MAX_SUM_TERMS = 12
+INTERCEPT = "intercept"
 
-# Cell numbers in the long form of the wide sums; the others are matrix positions.
-INCOMPLETE_CELL = -1
+PART_SCHEMA = "rows long, incomplete long, cells array<double>"
 
 
 class NormalEquations(NamedTuple):
@@ -33,26 +35,6 @@ def _centred(name: str, centres: dict[str, float] | None) -> Column:
     return value - F.lit(centres[name]) if centres else value
 
 
-def _cells(width: int) -> list[tuple[int, int]]:
-    """Upper triangle: the matrix is symmetric."""
-    return [(i, j) for i in range(width) for j in range(i, width)]
-
-
-def _sums(df: DataFrame, y: str, xs: Sequence[str], centres: dict[str, float] | None = None) -> DataFrame:
-    """One row: the row counts, ``A`` as ``a_i_j`` and ``b`` as ``b_i``.
-
-    One pass, summed inside every task first; only one row per task is shuffled.
-    """
-    design = [F.lit(1.0), *(_centred(x, centres) for x in xs)]
-    response = _centred(y, centres)
-    incomplete = F.col(y).isNull()
-    for x in xs:
-        incomplete = incomplete | F.col(x).isNull()
-    a = [F.sum(design[i] * design[j]).alias(f"a_{i}_{j}") for i, j in _cells(len(design))]
-    b = [F.sum(term * response).alias(f"b_{i}") for i, term in enumerate(design)]
-    return df.agg(F.count("*").alias("rows"), F.count_if(incomplete).alias("incomplete"), *a, *b)
-
-
 def _check(y: str, xs: Sequence[str]) -> None:
     if len({y, *xs}) != len(xs) + 1:
         raise ValueError("the response and the features must be different columns")
@@ -60,46 +42,129 @@ def _check(y: str, xs: Sequence[str]) -> None:
         raise ValueError(f"{INTERCEPT!r} is the name of the constant term")
 
 
-def _gram_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The sums of one partition as ``(cell, value)`` rows, over the constant 1 and all columns."""
-    gram, incomplete = 0.0, 0
-    for batch in batches:
-        columns = [column.to_numpy(zero_copy_only=False) for column in batch.columns]
-        rows = np.column_stack([np.ones(batch.num_rows), *columns])
-        gram = gram + rows.T @ rows
-        if any(column.null_count for column in batch.columns):
-            empty = batch.columns[0].is_null()
-            for column in batch.columns[1:]:
-                empty = pc.or_(empty, column.is_null())
-            incomplete += pc.sum(empty).as_py()
-    values = np.append(np.ravel(gram), float(incomplete)) if np.ndim(gram) else np.empty(0)
-    cells = np.append(np.arange(max(len(values) - 1, 0)), INCOMPLETE_CELL)[: len(values)]
-    yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(values, pa.float64())], ["cell", "value"])
-
-
-def _wide_sums(
-    df: DataFrame, y: str, xs: Sequence[str], centres: dict[str, float] | None
-) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """``A``, ``b``, the rows and the incomplete rows of a table with many features."""
-    columns = df.select(*(_centred(name, centres).alias(f"c{i}") for i, name in enumerate([*xs, y])))
-    cells = columns.mapInArrow(_gram_cells, "cell int, value double")
-    sums = dict(cells.groupBy("cell").agg(F.sum("value")).collect())
-    incomplete = int(sums.pop(INCOMPLETE_CELL, 0))
+class Factor:
+    """The triangular factor of all rows seen: their cross products, without being squared."""
+
+    def __init__(self, width: int):
+        self._width = width
+        self._factor = np.zeros((0, width))
+
+    def add_rows(self, rows: np.ndarray) -> None:
+        self._factor = np.linalg.qr(np.vstack([self._factor, rows]), mode="r")
+
+    def add_cells(self, cells: np.ndarray) -> None:
+        self.add_rows(cells.reshape(-1, self._width))
+
+    def cells(self) -> np.ndarray:
+        return self._factor.ravel()
+
+
+class Products:
+    """Summed products of the columns, with what each addition has rounded off in a second matrix."""
+
+    def __init__(self, width: int):
+        self._sums = np.zeros((width, width))
+        self._lost = np.zeros((width, width))
+
+    def _add(self, values: np.ndarray) -> None:
+        total = self._sums + values
+        came = total - self._sums
+        self._lost += (self._sums - (total - came)) + (values - came)
+        self._sums = total
+
+    def add_rows(self, rows: np.ndarray) -> None:
+        self._add(rows.T @ rows)
+
+    def add_cells(self, cells: np.ndarray) -> None:
+        sums, lost = cells.reshape(2, *self._sums.shape)
+        self._add(sums)
+        self._lost += lost
+
+    def cells(self) -> np.ndarray:
+        return np.concatenate([self._sums.ravel(), self._lost.ravel()])
+
+
+def _part(state: Factor | Products, rows: int, incomplete: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([rows], pa.int64()),
+            pa.array([incomplete], pa.int64()),
+            pa.array([state.cells()], pa.list_(pa.float64())),
+        ],
+        ["rows", "incomplete", "cells"],
+    )
+
+
+def _incomplete(batch: pa.RecordBatch) -> int:
+    if not any(column.null_count for column in batch.columns):
+        return 0
+    empty = batch.columns[0].is_null()
+    for column in batch.columns[1:]:
+        empty = pc.or_(empty, column.is_null())
+    return pc.sum(empty).as_py()
+
+
+Batches = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def _of_rows(kind: type, width: int) -> Batches:
+    """The part of one partition of the table, over the constant 1 and all its columns."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, rows, incomplete = kind(width), 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows += batch.num_rows
+            incomplete += _incomplete(batch)
+            columns = [column.to_numpy(zero_copy_only=False) for column in batch.columns]
+            state.add_rows(np.column_stack([np.ones(batch.num_rows), *columns]))
+        if rows:
+            yield _part(state, rows, incomplete)
+
+    return run
+
+
+def _of_parts(kind: type, width: int) -> Batches:
+    """Several parts as one."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, rows, incomplete = kind(width), 0, 0
+        for batch in batches:
+            for part in batch.to_pylist():
+                rows += part["rows"]
+                incomplete += part["incomplete"]
+                state.add_cells(np.array(part["cells"], dtype=float))
+        if rows:
+            yield _part(state, rows, incomplete)
+
+    return run
+
+
+def _merged(
+    df: DataFrame, kind: type, y: str, xs: Sequence[str], centres: dict[str, float] | None = None
+) -> DataFrame:
+    """``(rows, incomplete, cells)``, one row, none for an empty table.
+
+    A part per task of the scan, then one per shuffle partition, then their square root: no
+    task merges more than it would with as many rows, whatever the number of scan tasks.
+    """
     width = len(xs) + 2
-    gram = np.array([sums.get(cell, 0.0) for cell in range(width * width)]).reshape(width, width)
-    return gram[:-1, :-1], gram[:-1, -1], int(round(gram[0, 0])), incomplete
+    columns = df.select(*(_centred(name, centres).alias(f"c{i}") for i, name in enumerate([*xs, y])))
+    parts = columns.mapInArrow(_of_rows(kind, width), PART_SCHEMA)
+    many = shuffle_partitions(df.sparkSession)
+    for number in dict.fromkeys([many, math.isqrt(many), 1]):
+        parts = parts.repartition(number).mapInArrow(_of_parts(kind, width), PART_SCHEMA)
+    return parts
 
 
-def _narrow_sums(
-    df: DataFrame, y: str, xs: Sequence[str], centres: dict[str, float] | None
-) -> tuple[np.ndarray, np.ndarray, int, int]:
-    row = _sums(df, y, xs, centres).first()
-    width = len(xs) + 1
-    A = np.zeros((width, width))
-    for i, j in _cells(width):
-        A[i, j] = A[j, i] = row[f"a_{i}_{j}"] or 0.0
-    b = np.array([row[f"b_{i}"] or 0.0 for i in range(width)])
-    return A, b, row["rows"], row["incomplete"]
+def _complete(parts: DataFrame) -> tuple[int, np.ndarray]:
+    part = parts.first()
+    if part is None:
+        raise ValueError("no rows to fit")
+    if part["incomplete"]:
+        raise ValueError(f"{part['incomplete']} rows have an empty value")
+    return part["rows"], np.array(part["cells"], dtype=float)
 
 
 def normal_equations(
@@ -107,50 +172,52 @@ def normal_equations(
 ) -> NormalEquations:
     """Collect the p x p sums, p being the number of features plus one."""
     _check(y, xs)
-    sums = _narrow_sums if len(xs) < MAX_SUM_TERMS else _wide_sums
-    A, b, rows, incomplete = sums(df, y, xs, centres)
-    if not rows:
-        raise ValueError("no rows to fit")
-    if incomplete:
-        raise ValueError(f"{incomplete} rows have an empty value")
-    return NormalEquations([INTERCEPT, *xs], A, b, rows)
+    rows, cells = _complete(_merged(df, Products, y, xs, centres))
+    sums = cells.reshape(2, len(xs) + 2, len(xs) + 2).sum(axis=0)
+    return NormalEquations([INTERCEPT, *xs], sums[:-1, :-1], sums[:-1, -1], rows)
 
 
 def normal_matrix(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
-    """``(row_term, col_term, value)``: ``A`` in full, and ``b`` under the name of ``y``."""
+    """``(row_term, col_term, value)``: ``A`` in full, and ``b`` under the name of ``y``.
+
+    An empty table gives no rows; empty values are an error when the result is read.
+    """
     _check(y, xs)
-    terms = [INTERCEPT, *xs]
-    cells = [
-        F.struct(
-            F.lit(terms[i]).alias("row_term"),
-            F.lit(terms[j]).alias("col_term"),
-            F.col(f"a_{min(i, j)}_{max(i, j)}").alias("value"),
-        )
-        for i in range(len(terms))
-        for j in range(len(terms))
-    ] + [
-        F.struct(F.lit(term).alias("row_term"), F.lit(y).alias("col_term"), F.col(f"b_{i}").alias("value"))
-        for i, term in enumerate(terms)
-    ]
-    return _sums(df, y, xs).select(F.inline(F.array(*cells)))
-
-
-def _scaled(A: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    scale = np.sqrt(np.diag(A))
-    scale[scale == 0.0] = 1.0
-    return A / np.outer(scale, scale), scale
+    terms = [INTERCEPT, *xs, y]
+    size = len(terms) ** 2
+
+    def cell(i: int, j: int) -> Column:
+        at = i * len(terms) + j
+        value = F.get("cells", F.lit(at)) + F.get("cells", F.lit(size + at))
+        return F.struct(F.lit(terms[i]).alias("row_term"), F.lit(terms[j]).alias("col_term"), value.alias("value"))
+
+    cells = [cell(i, j) for i in range(len(terms) - 1) for j in range(len(terms))]
+    gaps = F.raise_error(F.concat(F.col("incomplete").cast("string"), F.lit(" rows have an empty value")))
+    sums = F.when(F.col("incomplete") > 0, gaps.cast("array<double>")).otherwise(F.col("cells"))
+    return _merged(df, Products, y, xs).select(sums.alias("cells")).select(F.inline(F.array(*cells)))
 
 
-def _solve(A: np.ndarray, b: np.ndarray) -> np.ndarray:
-    scaled, scale = _scaled(A)
-    if np.linalg.matrix_rank(scaled, hermitian=True) < len(b):
+def _solve(factor: np.ndarray, rows: int, centres: Sequence[float]) -> np.ndarray:
+    """Least squares from the factor of ``[1, features, response]``.
+
+    Features count as dependent if what tells them apart is no more than the rounding of their
+    values, which is coarse for a feature that is far from zero for its spread.
+    """
+    width = factor.shape[1] - 1
+    features, response = factor[:width, :width], factor[:width, width]
+    scale = np.linalg.norm(features, axis=0)
+    scale[scale == 0.0] = 1.0
+    far = np.abs(np.array([1.0, *centres])) * math.sqrt(rows) / scale
+    rounding = 8 * width * np.finfo(float).eps * max(1.0, far.max())
+    sizes = np.linalg.svd(features / scale, compute_uv=False)
+    if len(features) < width or sizes[-1] <= rounding * sizes[0]:
         raise ValueError("the features are linearly dependent (or there are too few rows)")
-    return np.linalg.solve(scaled, b / scale) / scale
+    return np.linalg.solve(features / scale, response) / scale
 
 
 def _means(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """Means over all rows. Sums taken around them keep the digits that sums of large
-    like-signed products lose."""
+    """Means over all rows. What is taken around them keeps the digits that values far from
+    zero lose."""
     averages = [F.avg(F.col(name).cast("double")).alias(name) for name in columns]
     row = df.agg(*averages).first()
     return {name: row[name] if row[name] is not None and np.isfinite(row[name]) else 0.0 for name in columns}
@@ -158,13 +225,14 @@ def _means(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
 
 def coefficients(df: DataFrame, y: str, xs: Sequence[str]) -> dict[str, float]:
     """Intercept and slopes by term, in two passes over the table: the means of its columns,
-    then the sums around them. The order of the rows does not matter."""
+    then the QR factor of the rows around them. Nearly dependent features keep the digits that
+    the squares of normal equations lose. The order of the rows does not matter."""
     _check(y, xs)
     centres = _means(df, [y, *xs])
-    equations = normal_equations(df, y, xs, centres)
-    if not (np.isfinite(equations.A).all() and np.isfinite(equations.b).all()):
+    rows, cells = _complete(_merged(df, Factor, y, xs, centres))
+    if not np.isfinite(cells).all():
         raise ValueError("the columns hold values that are not finite")
-    beta = _solve(equations.A, equations.b)
+    beta = _solve(cells.reshape(-1, len(xs) + 2), rows, [centres[x] for x in xs])
     slopes = dict(zip(xs, beta[1:].tolist(), strict=True))
     intercept = centres[y] + beta[0] - sum(slopes[x] * centres[x] for x in xs)
     return {INTERCEPT: float(intercept), **slopes}

@@ -240,6 +240,24 @@ ORACLES: dict[str, str] = {
         SELECT CASE WHEN k = 0 THEN 'intercept' ELSE 'g' || k END AS term,
                round(CASE WHEN k = 0 THEN mean ELSE mean - (SELECT mean FROM means WHERE k = 0) END, 4) AS beta
         FROM means""",
+    # Fitted on the quantity and the price, which are well apart, and put in the other terms.
+    "ols_nearly_dependent": """
+        WITH rows AS (
+            SELECT l_quantity::DOUBLE AS q, l_extendedprice::DOUBLE AS p,
+                   l_extendedprice::DOUBLE * (1 - l_discount::DOUBLE) AS y
+            FROM lineitem),
+        sums AS (
+            SELECT avg(q) AS mq, avg(p) AS mp, avg(y) AS my, covar_pop(q, q) AS qq, covar_pop(p, p) AS pp,
+                   covar_pop(q, p) AS qp, covar_pop(q, y) AS qy, covar_pop(p, y) AS py
+            FROM rows),
+        plain AS (
+            SELECT *, (qy * pp - py * qp) / (qq * pp - qp * qp) AS bq, (py * qq - qy * qp) / (qq * pp - qp * qp) AS bp
+            FROM sums),
+        turned AS (
+            SELECT bp * 1e8 AS traced, bq - bp * 1e8 AS shifted, my - bq * mq - bp * mp AS constant FROM plain)
+        SELECT 'intercept' AS term, round((constant - shifted * 1e6) / 1e14, 6) AS beta FROM turned
+        UNION ALL SELECT 'shifted', round(shifted / 1e8, 6) FROM turned
+        UNION ALL SELECT 'traced', round(traced / 1e8, 6) FROM turned""",
     "bad_csv_records": """
         SELECT CASE WHEN l_linenumber = 2 THEN l_orderkey || ',' || l_linenumber
                     ELSE l_orderkey || ',none,' || l_linenumber END AS record

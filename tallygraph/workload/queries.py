@@ -297,7 +297,7 @@ def ols_stored_betas(spark, sf_dir):
 
 @query
 def ols_group_indicators(spark, sf_dir):
-    """Fourteen features, one for each group but the first: the wide path."""
+    """Fourteen features, one for each group but the first."""
     rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_extendedprice")
     marks = [f"g{k}" for k in range(1, GROUPS)]
     design = rows.select(
@@ -307,6 +307,21 @@ def ols_group_indicators(spark, sf_dir):
     return op.fit_ols(design, "l_extendedprice", marks).select("term", rounded("beta", 4))
 
 
+@query
+def ols_nearly_dependent(spark, sf_dir):
+    """The quantity far from zero, and the quantity again with a trace of the price: a fit that
+    squares the features loses what tells them apart. In units of 1e8, and 1e14 for the intercept."""
+    quantity, price = F.col("l_quantity").cast("double"), F.col("l_extendedprice").cast("double")
+    rows = prices(spark, sf_dir).select(
+        (price * (1 - F.col("l_discount").cast("double"))).alias("revenue"),
+        (quantity + 1e6).alias("shifted"),
+        (quantity + price * 1e-8).alias("traced"),
+    )
+    unit = F.when(F.col("term") == "intercept", 1e14).otherwise(1e8)
+    found = op.fit_ols(rows, "revenue", ["shifted", "traced"])
+    return found.select("term", F.round(F.col("beta") / unit, 6).alias("beta"))
+
+
 # Files
 
 

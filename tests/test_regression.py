@@ -1,7 +1,10 @@
+from fractions import Fraction
+
 import numpy as np
 import pytest
 
 from tallygraph.operators import fit_ols, normal_equations, normal_matrix
+from tallygraph.operators.regression import Factor, Products, coefficients
 from tallygraph.plans import fit_csv
 
 
@@ -141,3 +144,60 @@ def test_bad_rows_fail(spark, tmp_path, bad):
     (tmp_path / "rows.csv").write_text(f"1.0,2.0\n2.0,3.5\n3.0,1.0\n{bad}\n")
     with pytest.raises(Exception, match="FAILFAST|Malformed"):
         fit_csv(spark, str(tmp_path / "rows.csv"))
+
+
+def test_nearly_dependent_features(spark):
+    """Two features that differ by a few millionths, one far from zero: squares lose the difference."""
+    rng = np.random.default_rng(8)
+    first, apart = rng.integers(1, 51, 4000).astype(float), rng.normal(size=4000)
+    X = np.column_stack([first + 1e6, first + apart * 2**-18])
+    y = 5.0 + 3.0 * first + 2.0 * (X[:, 1] - first) * 2**18
+    df, xs = table(spark, y, X)
+    slopes = [3.0 - 2.0 * 2**18, 2.0 * 2**18]
+    found = coefficients(df, "y", xs)
+    error = np.abs(np.array([found[x] for x in xs]) - slopes).max()
+    means = dict(zip(["y", *xs], [y.mean(), *X.mean(axis=0)], strict=True))
+    equations = normal_equations(df, "y", xs, means)
+    squared = np.abs(np.linalg.solve(equations.A, equations.b)[1:] - slopes).max()
+    assert error < 1e-4 < squared / 100
+
+
+def test_sums_keep_what_additions_round_off():
+    """Large values that cancel leave the small ones."""
+    rng = np.random.default_rng(5)
+    batches = [np.array([[1.0, 1e9]]), *rng.integers(1, 9, (500, 1, 2)) / 8, np.array([[1.0, -1e9]])]
+    whole, halves = Products(2), [Products(2), Products(2)]
+    for i, batch in enumerate(batches):
+        whole.add_rows(batch)
+        halves[i % 2].add_rows(batch)
+    merged = Products(2)
+    for half in halves:
+        merged.add_cells(half.cells())
+    exact = sum(Fraction(a) * Fraction(b) for a, b in np.vstack(batches)), sum(
+        Fraction(b) ** 2 for _, b in np.vstack(batches)
+    )
+    for state in (whole, merged):
+        sums, lost = state.cells().reshape(2, 2, 2)
+        # What the large squares push out of the sum is in the second matrix, to its last digit.
+        assert (Fraction(sums[0, 1]) + Fraction(lost[0, 1]), Fraction(sums[1, 1]) + Fraction(lost[1, 1])) == exact
+
+
+def test_factors_merge():
+    """Parts of any size, those with fewer rows than columns too, give the factor of all rows."""
+    rows = np.random.default_rng(6).normal(size=(100, 4))
+    merged = Factor(4)
+    for part in np.split(rows, [2, 3, 50]):
+        factor = Factor(4)
+        factor.add_rows(part)
+        merged.add_cells(factor.cells())
+    factor = merged.cells().reshape(4, 4)
+    np.testing.assert_allclose(factor.T @ factor, rows.T @ rows, rtol=1e-12, atol=1e-12)
+
+
+def test_normal_matrix_of_gaps_and_of_nothing(spark):
+    y, X = sample(2, n=30)
+    df, xs = table(spark, y, X)
+    assert normal_matrix(df.limit(0), "y", xs).collect() == []
+    gaps = df.selectExpr("y", "x1", f"nullif(x2, {float(X[7, 1])!r}D) AS x2")
+    with pytest.raises(Exception, match="1 rows have an empty value"):
+        normal_matrix(gaps, "y", xs).collect()
