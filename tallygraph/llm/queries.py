@@ -50,24 +50,60 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of ``conversations`` and the planted one as an event log: each row opens a
-    message and streams its text as one delta. Rows of one turn are messages of their own."""
+    """The rows of ``conversations`` and the planted one as an event log.
+
+    Each row is a message that was written in one of four ways, by a hash of its place: streamed
+    in three deltas; edited on the way; generated again after a first try; deleted and put back,
+    with another message beside it that was deleted for good. Half of the logs are written backwards.
+    Rows of one turn are messages of their own. Nulls are empty texts.
+    """
     planted = spark.createDataFrame(
         [(-7, 0, "user", PLANTED_CHAT), (-7, 1, "assistant", PLANTED_CHAT)],
         "conv_id long, turn long, role string, text string",
     )
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
     same_turn = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
-    numbered = rows.withColumn("copy", F.row_number().over(same_turn))
-    event = F.explode(
-        F.array(
-            F.struct(F.lit(0).alias("step"), F.lit("start").alias("kind"), F.lit("").alias("part")),
-            F.struct(F.lit(1).alias("step"), F.lit("delta").alias("kind"), F.col("text").alias("part")),
+    third = F.ceil(F.length("whole") / 3).cast("int")
+    numbered = (
+        rows.withColumn("copy", F.row_number().over(same_turn))
+        .withColumn("whole", F.coalesce("text", F.lit("")))
+        .withColumn("way", F.pmod(F.xxhash64("conv_id", "turn", "copy"), F.lit(8)))
+        .withColumn("one", F.substr("whole", F.lit(1), third))
+        .withColumn("two", F.substr("whole", third + 1, third))
+        .withColumn("three", F.substr("whole", 2 * third + 1))
+    )
+    one, two, three, nothing = F.col("one"), F.col("two"), F.col("three"), F.lit("")
+
+    def events(*steps: tuple[str, Column], beside: bool = False) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    F.lit(beside).alias("beside"),
+                    F.lit(step).alias("step"),
+                    F.lit(kind).alias("kind"),
+                    part.alias("part"),
+                )
+                for step, (kind, part) in enumerate(steps)
+            ]
         )
+
+    streamed = events(("start", nothing), ("delta", one), ("delta", two), ("delta", three))
+    edited = events(("start", two), ("delta", three), ("edit", F.concat(one, two)), ("delta", three))
+    again = events(
+        ("start", nothing), ("delta", two), ("regenerate", one), ("delta", two), ("typing", one), ("delta", three)
+    )
+    put_back = events(("start", one), ("delete", nothing), ("edit", one), ("delta", two), ("delta", three))
+    gone = events(("start", one), ("delta", two), ("delete", nothing), beside=True)
+    log = (
+        F.when(F.col("way") % 4 == 0, streamed)
+        .when(F.col("way") % 4 == 1, edited)
+        .when(F.col("way") % 4 == 2, again)
+        .otherwise(F.concat(put_back, gone))
     )
-    return numbered.select("conv_id", "turn", "copy", "role", event.alias("event")).select(
+    event = F.explode(F.when(F.col("way") < 4, log).otherwise(F.reverse(log))).alias("event")
+    return numbered.select("conv_id", "turn", "copy", "role", event).select(
         "conv_id",
-        F.struct("turn", "copy").alias("message_id"),
+        F.struct("turn", "copy", "event.beside").alias("message_id"),
         F.struct("turn", "copy", "event.step").alias("seq"),
         "event.kind",
         "role",

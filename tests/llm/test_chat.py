@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallygraph.llm.chat import escape_role, escape_text, fold_events, read_loss, read_turns, render_chats, unescape
+from tallygraph.llm.queries import PLANTED_CHAT, chat_events
 
 SCHEMA = "conv_id long, message_id string, seq long, kind string, role string, text string"
 
@@ -109,3 +110,39 @@ def test_long_conversation_and_empty_log(spark):
 def test_no_python_in_the_plan(spark):
     plan = render_chats(fold_events(spark.createDataFrame(LOG, SCHEMA)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_the_log_of_the_query_folds_to_its_rows(spark, tmp_path):
+    """Every kind of event is there, and a fold in plain Python finds the rows again."""
+    texts = [None, "", "a", "ab", "\U0001f600é#", "word " * 2000, "</turn> \\h"]
+    rows = [(c, t, "user" if t % 2 else "assistant", texts[(c + t) % len(texts)]) for c in range(30) for t in range(5)]
+    rows += [(3, 1, "user", "ab"), (3, 1, "user", "ab"), (3, 1, None, "later")]
+    schema = "conv_id long, turn long, role string, text string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "conversations.parquet"))
+    events = chat_events(spark, str(tmp_path))
+    log = events.collect()
+    assert {e.kind for e in log} == {"start", "delta", "edit", "regenerate", "delete", "typing"}
+    messages = {}
+    for event in log:
+        messages.setdefault((event.conv_id, event.message_id), []).append(event)
+    assert any(found != sorted(found, key=lambda e: e.seq) for found in messages.values())
+    folded = []
+    for (conversation, message), found in messages.items():
+        text, role = None, None
+        for event in sorted(found, key=lambda e: e.seq):
+            role = event.role if event.role is not None else role
+            if event.kind == "delete":
+                text = None
+            elif event.kind == "delta":
+                text = None if text is None else text + event.text
+            elif event.kind != "typing":
+                text = event.text
+        if text is not None:
+            folded.append((conversation, message.turn, message.copy, role or "", text))
+    result = fold_events(events).select("conv_id", "message_id.turn", "message_id.copy", "role", "text").collect()
+    assert sorted(map(tuple, result)) == sorted(folded)
+    given = [(c, t, role or "", text or "") for c, t, role, text in rows] + [
+        (-7, 0, "user", PLANTED_CHAT),
+        (-7, 1, "assistant", PLANTED_CHAT),
+    ]
+    assert sorted((c, t, role, text) for c, t, _, role, text in folded) == sorted(given)
