@@ -22,6 +22,7 @@ from tallygraph.operators.retrieval import (
     search_counts,
     term_frequency,
     tfidf,
+    tfidf_of_rows,
     tokenize,
     word_count,
     word_count_of_rows,
@@ -52,6 +53,7 @@ __all__ = [
     "search_counts",
     "term_frequency",
     "tfidf",
+    "tfidf_of_rows",
     "tokenize",
     "top_pages",
     "word_count",

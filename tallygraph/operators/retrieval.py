@@ -3,7 +3,7 @@
 from collections.abc import Iterable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygraph.functions import inverse_document_frequency, log_term_frequency, plain_words
@@ -12,6 +12,12 @@ from tallygraph.operators.skew import HEAVY_ROWS, join_salted, join_spread, key_
 # Term lists up to this length travel as literals or a broadcast; longer ones are shuffled.
 SMALL_TERM_LIST = 10_000
 
+# One document of so many is looked at to find the words that need several tasks.
+SAMPLED = 64
+
+# The slot of a word that stays in one task.
+WHOLE = -1
+
 
 class Corpus(NamedTuple):
     n_docs: int
@@ -104,6 +110,40 @@ def tfidf(counts: DataFrame, n_docs: int, heavy_rows: int = HEAVY_ROWS) -> DataF
     return scored.select("word", "doc_id", score.alias("tfidf"))
 
 
+def tfidf_of_rows(counts: DataFrame, n_docs: int, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """``tfidf`` for counts that have not been shuffled, as those of ``word_count_of_rows``.
+
+    The postings move once, to the task of their word, and are counted there. Words that would
+    outweigh a partition are dealt over several by document; one document of ``SAMPLED`` tells
+    which these are. The sample decides where a posting goes, never what is counted: the parts
+    of a dealt word are added up in a table of such words, fewer than there are partitions.
+    """
+    counts = counts.where(F.col("word").isNotNull() & (F.col("n") > 0))
+    seen = counts.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLED)) == 0)
+    sizes = seen.groupBy("word").agg((F.count("*") * SAMPLED).alias("size"))
+    heavy = key_salts(sizes, "size", heavy_rows).where(F.col("salts") > 1).select("word", "salts")
+    slot = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int"), F.lit(WHOLE))
+    # Both readers below need every column, so that one shuffle serves them; hence a posting
+    # that could be null as far as the planner knows.
+    posting = F.when(F.col("n") > 0, F.struct("doc_id", "n"))
+    moved = (
+        counts.join(F.broadcast(heavy), "word", "left")
+        .select("word", slot.alias("slot"), posting.alias("posting"))
+        .repartition("word", "slot")
+    )
+    dealt = F.col("slot") != WHOLE
+    # All words that stay whole are one row of this table, which no posting meets.
+    dealt_word = F.when(dealt, F.coalesce("word", F.lit(""))).otherwise("")
+    parts = moved.groupBy(dealt.alias("dealt"), dealt_word.alias("word"))
+    sums = parts.agg(F.count("posting").alias("all_parts"))
+    here = F.count("posting").over(Window.partitionBy("word", "slot"))
+    counted = moved.select("word", dealt.alias("dealt"), "posting", here.alias("part"))
+    joined = counted.join(F.broadcast(sums), ["dealt", "word"], "left")
+    df = F.when(F.col("dealt"), F.col("all_parts")).otherwise(F.col("part"))
+    score = log_term_frequency(F.col("posting.n")) * inverse_document_frequency(n_docs, df)
+    return joined.select("word", "posting.doc_id", score.alias("tfidf"))
+
+
 def query_terms(terms: Iterable[str]) -> list[str]:
     """Distinct lower-cased terms. They are matched whole, never tokenised."""
     if isinstance(terms, str):

@@ -9,6 +9,7 @@ from tallygraph.operators import (
     corpus_size,
     search_counts,
     tfidf,
+    tfidf_of_rows,
     tokenize,
     word_count,
     word_count_of_rows,
@@ -44,11 +45,7 @@ def score_documents(
     if n_docs is None:
         n_docs = corpus_size(docs, id_col)
     counts = count_words(docs, one_row_per_doc, id_col, text_col)
-    if one_row_per_doc:
-        # Postings move evenly, once, and both the frequencies and the scores read them there.
-        # Without this the texts would be tokenised for each.
-        counts = counts.repartition("word", "doc_id")
-    return tfidf(counts, n_docs)
+    return tfidf_of_rows(counts, n_docs) if one_row_per_doc else tfidf(counts, n_docs)
 
 
 def search_documents(

@@ -13,6 +13,7 @@ from tallygraph.operators import (
     search,
     search_counts,
     tfidf,
+    tfidf_of_rows,
     tokenize,
     top_pages,
     word_count,
@@ -67,13 +68,12 @@ def exchanges(plan):
     return re.findall(r"\+- Exchange (\w+\([^)]*\))", plan)
 
 
-@pytest.mark.parametrize("one_row_per_doc", [True, False])
 @pytest.mark.parametrize("heavy_rows", [1, 1_000_000])
-def test_tfidf_tokenizes_once(spark, docs, executed_plan, no_broadcast, one_row_per_doc, heavy_rows, monkeypatch):
+def test_tfidf_tokenizes_once(spark, docs, executed_plan, no_broadcast, heavy_rows, monkeypatch):
     monkeypatch.setattr(plans, "tfidf", partial(tfidf, heavy_rows=heavy_rows))
     one_word = spark.range(9000).selectExpr("id + 1000000 AS doc_id", "'the' AS text")
     hot = docs.select("doc_id", "text").unionByName(one_word)
-    scores = plans.score_documents(hot, 9200, one_row_per_doc=one_row_per_doc)
+    scores = plans.score_documents(hot, 9200)
     plan = without_initial_plans(executed_plan(scores))
     assert plan.count("FileScan") == 1
     assert sum("doc_id" in keys for keys in exchanges(plan)) == 1
@@ -84,6 +84,28 @@ def test_tfidf_tokenizes_once(spark, docs, executed_plan, no_broadcast, one_row_
     assert ("BroadcastHashJoin [word" in plan) == (heavy_rows == 1)
 
 
+@pytest.mark.parametrize("heavy_rows", [1, 1_000_000])
+def test_tfidf_of_rows_moves_postings_once(spark, docs, executed_plan, no_broadcast, heavy_rows, monkeypatch):
+    """With a third of all postings under one word, too."""
+    monkeypatch.setattr(plans, "tfidf_of_rows", partial(tfidf_of_rows, heavy_rows=heavy_rows))
+    one_word = spark.range(9000).selectExpr("id + 1000000 AS doc_id", "'the' AS text")
+    hot = docs.select("doc_id", "text").unionByName(one_word)
+    scores = plans.score_documents(hot, 9200, one_row_per_doc=True)
+    plan = without_initial_plans(executed_plan(scores))
+    moves = exchanges(plan)
+    assert sum("slot" in keys for keys in moves) == 1
+    assert not any("doc_id" in keys or "SinglePartition" in keys for keys in moves)
+    assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    # Both the counts of the slots and the sums of dealt words read that shuffle.
+    assert len(re.findall(r"ReusedExchange \[word#\d+, slot#\d+, posting#\d+\]", plan)) == 1
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    tasks = scores.withColumn("task", F.spark_partition_id()).where("word = 'the'").select("task").distinct().count()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert (tasks > 1) == (heavy_rows == 1)
+    one_way = plans.tfidf(word_count(tokenize(hot)), 9200)
+    assert scores.exceptAll(one_way).isEmpty() and one_way.exceptAll(scores).isEmpty()
+
+
 def test_only_heavy_keys_get_salts(spark):
     sizes = spark.createDataFrame([("the", 800), ("a", 150), ("b", 50)], "word string, df long")
     salts = {row["word"]: row["salts"] for row in key_salts(sizes, "df", 1).collect()}

@@ -13,6 +13,7 @@ from tallygraph.operators import (
     search_counts,
     term_frequency,
     tfidf,
+    tfidf_of_rows,
     tokenize,
     word_count,
     word_count_of_rows,
@@ -119,6 +120,27 @@ def test_tfidf(docs, split_docs, heavy_rows):
         assert scores.count() == len(brute_scores())
 
 
+@pytest.mark.parametrize("sampled", [1, 64])
+@pytest.mark.parametrize("heavy_rows", [1, 10, 1_000_000])
+def test_tfidf_of_rows(docs, heavy_rows, sampled, monkeypatch):
+    """Whether a word is dealt over several tasks, or its sample misses it, changes no score."""
+    monkeypatch.setattr(retrieval, "SAMPLED", sampled)
+    scores = tfidf_of_rows(word_count_of_rows(docs), len(TEXTS), heavy_rows)
+    assert as_dict(scores, "tfidf") == pytest.approx(brute_scores())
+    assert scores.count() == len(brute_scores())
+
+
+def test_tfidf_of_rows_of_odd_counts(spark):
+    """Empty words are words here, postings without a word or a count are none, ids may be null."""
+    rows = [("", 1, 2), ("", 2, 1), ("a", 1, 1), (None, 1, 1), ("a", 2, 0), ("a", None, 10)]
+    scores = tfidf_of_rows(spark.createDataFrame(rows, "word string, doc_id int, n long"), 2)
+    idf = math.log10(2)
+    assert as_dict(scores, "tfidf") == pytest.approx(
+        {("", 1): (math.log10(2) + 1) * idf, ("", 2): idf, ("a", 1): idf, ("a", None): 2 * idf}
+    )
+    assert tfidf_of_rows(spark.createDataFrame([], "word string, doc_id int, n long"), 2).count() == 0
+
+
 def test_single_row_documents_score_alike(docs):
     assert as_dict(score_documents(docs, one_row_per_doc=True), "tfidf") == pytest.approx(brute_scores())
 
