@@ -27,11 +27,12 @@ def parse_pages(lines: DataFrame, line_col: str = "value") -> DataFrame:
 def page_links(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """``(title, link)``, one row per link of the non-blank lines.
 
-    The links are exploded where they are parsed. Exploding a named column of them instead would
-    make Spark parse them again in a filter on their number.
+    Title and links are parsed once a line, before the explode. Next to the explode, Spark would
+    search the title in every row of a link; a plain explode of the parsed column would make it
+    parse the links again in a filter on their number. No link is null.
     """
-    line = F.col(line_col)
-    return lines.where(line != "").select(page_title(line).alias("title"), F.explode(wiki_links(line)).alias("link"))
+    pages = parse_pages(lines, line_col)
+    return pages.select("title", F.explode_outer("links").alias("link")).where(F.col("link").isNotNull())
 
 
 def page_nodes(pages: DataFrame) -> DataFrame:

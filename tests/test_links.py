@@ -1,6 +1,6 @@
 import pytest
 
-from tallygraph.operators import links_to_edges, out_degree, page_nodes, parse_lines, parse_pages
+from tallygraph.operators import links_to_edges, out_degree, page_links, page_nodes, parse_lines, parse_pages
 
 LINES = [
     '<title> A&amp;B </title><text xml:space="preserve">x [[C]] [[ D|lbl ]] [[]] [[ ]] [[C]] [[F:[[G]] z]]</text>',
@@ -61,3 +61,11 @@ def test_edges_pool_equal_titles(spark, rows):
     assert rows(edges) == [("a", "a", 1), ("a", "b", 3), ("a", "red", 1)]
     assert rows(out_degree(edges)) == [("a", 5)]
     assert rows(page_nodes(pages)) == [("a",)]
+
+
+def test_titles_are_parsed_once_a_line(spark, lines, executed_plan, rows):
+    """Not in every row of a link, above the explode."""
+    found = page_links(lines)
+    assert rows(found) == [("A&amp;B", "C"), ("A&amp;B", "C"), ("A&amp;B", "D|lbl"), ("A&amp;B", "F:G"), ("C", "A")]
+    above = executed_plan(found).split("Generate explode")
+    assert len(above) == 2 and "regexp_extract" not in above[0] and above[1].count("<title>") == 1
