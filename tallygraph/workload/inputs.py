@@ -3,8 +3,12 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallygraph.operators.skew import shuffle_partitions
 from tallygraph.sources import read_table, spread_small
 
+# Order lines of a task, on average.
+TASK_LINES = 250_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet", *columns)
@@ -30,7 +34,10 @@ def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(
         spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus"
     )
-    return lines.withColumn("next_part", F.lead("l_partkey").over(order))
+    # These rows are short, but the pages made of them are not: a task gets few, whatever the size of
+    # the table and of a shuffle partition. Their number is in the footers of the files.
+    tasks = max(shuffle_partitions(spark), -(-lines.count() // TASK_LINES))
+    return lines.repartition(tasks, "l_orderkey").withColumn("next_part", F.lead("l_partkey").over(order))
 
 
 def basket_edges(spark: SparkSession, sf_dir: str) -> DataFrame:

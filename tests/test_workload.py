@@ -2,10 +2,11 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from conftest import SMALL
-from tallygraph.workload import ORACLES, QUERIES
+from tallygraph.workload import ORACLES, QUERIES, inputs
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -41,3 +42,11 @@ def test_entry(spark):
     result = entry_point.entry(spark)
     assert result.columns == ["doc_id", "score"]
     assert result.count() == 10
+
+
+def test_order_lines_come_in_small_tasks(spark, monkeypatch):
+    """However few the shuffle partitions are."""
+    monkeypatch.setattr(inputs, "TASK_LINES", 300)
+    found = inputs.baskets(spark, SMALL).groupBy(F.spark_partition_id()).count()
+    sizes = [row["count"] for row in found.collect()]
+    assert len(sizes) >= 18 and max(sizes) < 600
