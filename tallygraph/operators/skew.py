@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 # Below this many rows one task copes with a key, whatever its share.
 HEAVY_ROWS = 1_000_000
 
+# Groups by hash in which keys are counted first: a few numbers of each task, whatever the keys.
+KEY_GROUPS = 1 << 14
+
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -67,11 +70,13 @@ def join_split(
     """``inner`` or ``left_semi`` join of a table with hot keys to one with unique keys.
 
     ``heavy`` is a column of the keys to keep out of the shuffle. It must be short:
-    its slice of ``small`` is broadcast.
+    its slice of ``small`` is broadcast. A task holds its keys of ``small`` in memory, but does not
+    sort its rows of ``big``.
     """
+    hashed = small.hint("shuffle_hash")
     if heavy is None:
-        return big.join(small, key, how)
-    light_part = big.join(F.broadcast(heavy), key, "left_anti").join(small, key, how)
+        return big.join(hashed, key, how)
+    light_part = big.join(F.broadcast(heavy), key, "left_anti").join(hashed, key, how)
     heavy_part = big.join(F.broadcast(small.join(heavy, key, "left_semi")), key, how)
     return light_part.unionByName(heavy_part)
 
@@ -89,6 +94,14 @@ def join_spread(
     ``big`` should be a stored table: it is counted if its size ``total`` is not given, read
     for the key sizes, and read once per branch.
     """
-    sizes = big.groupBy(key).agg(F.count("*").alias("rows_of_key"))
-    heavy, _ = heavy_keys(sizes, "rows_of_key", big.count() if total is None else total, heavy_rows)
+    total = big.count() if total is None else total
+    limit = max(total // shuffle_partitions(big.sparkSession), heavy_rows)
+    heavy = None
+    if total > limit:
+        # A heavy key makes its group heavy, so keys are counted in heavy groups only.
+        group = F.pmod(F.xxhash64(key), F.lit(KEY_GROUPS))
+        groups = [row["at"] for row in big.groupBy(group.alias("at")).count().where(F.col("count") > limit).collect()]
+        if groups:
+            sizes = big.where(group.isin(groups)).groupBy(key).agg(F.count("*").alias("rows_of_key"))
+            heavy, _ = heavy_keys(sizes, "rows_of_key", total, heavy_rows)
     return join_split(big, small, key, how, None if heavy is None else heavy.select(key))

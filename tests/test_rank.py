@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallygraph.operators import initial_ranks, out_degree, pagerank, pagerank_step, rank_order, top_pages
+from tallygraph.operators import skew
 from tallygraph.operators.skew import join_spread
 from tallygraph.plans import rank_lines
 from tallygraph.staging import checkpoint_root, drop_checkpoint
@@ -166,3 +167,14 @@ def test_only_the_result_stays_in_the_checkpoint_folder(spark, hub, steps):
     assert len(left) == 1 and ranks.count() == 60
     drop_checkpoint(ranks)
     assert not any(folder.exists() for folder in left)
+
+
+def test_light_keys_are_not_counted_one_by_one(spark, rows, executed_plan, monkeypatch):
+    """Nor are the rows sorted to be joined."""
+    counted = []
+    monkeypatch.setattr(skew, "heavy_keys", lambda sizes, *rest: counted.append(sizes) or (None, 0))
+    big = spark.createDataFrame([(f"k{i}", i) for i in range(3000)], "k string, v int")
+    joined = join_spread(big, spark.createDataFrame([("k1",), ("k7",), (None,)], "k string"), "k", "left_semi", 50)
+    assert not counted and rows(joined) == [("k1", 1), ("k7", 7)]
+    plan = executed_plan(joined)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
