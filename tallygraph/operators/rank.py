@@ -100,7 +100,7 @@ def _lay_out(nodes: DataFrame, edges: DataFrame, area: Staging, heavy_rows: int,
     but carry rank nowhere, so they are left out. Heavy pages take no shuffle by their id here.
     """
     pages, size = number_pages(nodes, area)
-    edges = area.table(edges.select("src", "dst", "multiplicity"), "edges")
+    edges = area.table(edges.select("src", "dst", "multiplicity"), "edges", "zstd")
     total = edges.count()
     degree = edges.groupBy("src").agg(F.sum("multiplicity").alias("out_degree"), F.count("*").alias("targets"))
     sources = area.table(

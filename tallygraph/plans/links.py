@@ -21,7 +21,7 @@ def rank_lines(
     once, into a staged table that gives the line count, the pages and the links.
     """
     with staging(lines.sparkSession) as area:
-        parsed = area.table(parse_lines(lines, line_col), "parsed")
+        parsed = area.table(parse_lines(lines, line_col), "parsed", "zstd")
         pages = parsed.where(F.col("title").isNotNull())
         start = parsed.count() if n is None else n
         return pagerank(page_nodes(pages), links_to_edges(pages), start, damping, iterations, heavy_rows)

@@ -22,10 +22,10 @@ def read_scores(spark: SparkSession, path: str, id_type: str = "string") -> Data
     return spark.read.schema(SCORE_SCHEMA.format(id_type)).parquet(path)
 
 
-def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Tab-separated text without quoting, one file per partition."""
+def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", compression: str | None = None) -> None:
+    """Tab-separated text without quoting, one file per partition. A compressed file is read back by one task."""
     cells = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in df.columns]
-    df.select(F.concat_ws("\t", *cells).alias("value")).write.mode(mode).text(path)
+    df.select(F.concat_ws("\t", *cells).alias("value")).write.mode(mode).text(path, compression)
 
 
 def write_ranked(ranks: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -48,10 +48,10 @@ class Staging:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         """Write ``df`` as Parquet and return the stored table: short lineage, and
         later passes read only the columns they use."""
-        df.write.parquet(self.path(name))
+        df.write.parquet(self.path(name), compression=compression)
         return df.sparkSession.read.schema(df.schema).parquet(self.path(name))
 
     def read(self, name: str) -> DataFrame:

@@ -244,8 +244,8 @@ def wiki_pagerank_text_files(spark, sf_dir):
     with staging(spark) as area:
         lines = wiki_lines(spark, sf_dir)
         linking = F.contains("value", F.lit("[["))
-        write_tsv(lines.where(linking), area.path("linking"))
-        write_tsv(lines.where(~linking), area.path("others"))
+        write_tsv(lines.where(linking), area.path("linking"), compression="gzip")
+        write_tsv(lines.where(~linking), area.path("others"), compression="gzip")
         both = read_lines(spark, f"{area.path('linking')},{area.path('others')}")
         write_ranked(rank_lines(both), area.path("ranked"))
         return rounded_ranks(read_ranked(spark, area.path("ranked"))).checkpoint()

@@ -150,3 +150,12 @@ def test_staged_tables_live_in_the_checkpoint_folder_and_go(spark, tmp_path):
         assert area.path("numbers").startswith(area.root)
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         spark.read.parquet(area.path("numbers"))
+
+
+def test_compressed_lines_come_back(spark, rows, tmp_path):
+    df = spark.range(3000).selectExpr("concat('line ', id % 7, ' é') AS value")
+    write_tsv(df, str(tmp_path / "plain"))
+    write_tsv(df, str(tmp_path / "packed"), compression="gzip")
+    size = {name: sum(f.stat().st_size for f in (tmp_path / name).glob("part-*")) for name in ("plain", "packed")}
+    assert size["packed"] * 5 < size["plain"]
+    assert rows(read_lines(spark, str(tmp_path / "packed"))) == rows(df)
