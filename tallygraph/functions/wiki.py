@@ -5,7 +5,7 @@ from tallygraph.functions.strings import trim_controls
 
 # The tags of a page line, the link brackets, the name of untitled pages.
 TITLE_TAG = r"<title>(.+?)</title>"
-TEXT_TAG = r"<text(.*?)>(.*?)</text>"
+TEXT_TAG = r"<text.*?>.*?</text>"
 LINK_SPAN = r"\[\[.*?]\]"
 LINK_OPEN, LINK_CLOSE = "[[", "]]"
 UNTITLED = "null"
@@ -15,10 +15,14 @@ def page_title(line: Column) -> Column:
     """First title of the line, trimmed; entities stay encoded.
 
     The tag body cannot be empty, so an empty extract means "no title"; a title
-    of blanks is a title and trims to the empty string.
+    of blanks is a title and trims to the empty string. The line is searched once, as its
+    extract is an argument.
     """
-    title = F.regexp_extract(line, TITLE_TAG, 1)
-    return F.when(title == "", F.lit(UNTITLED)).otherwise(trim_controls(title))
+
+    def named(title: Column) -> Column:
+        return F.when(title == "", F.lit(UNTITLED)).otherwise(trim_controls(title))
+
+    return F.transform(F.array(F.regexp_extract(line, TITLE_TAG, 1)), named)[0]
 
 
 def wiki_links(line: Column) -> Column:
