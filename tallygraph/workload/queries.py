@@ -348,8 +348,9 @@ def documents_from_files(spark, sf_dir):
     with staging(spark) as area:
         docs = table(spark, sf_dir, "documents", "lang", "text").where("text IS NOT NULL AND lang IS NOT NULL")
         lines = docs.select("lang", F.posexplode(F.split(F.regexp_replace("text", "\r", " "), "\n")).alias("at", "value"))
+        folders = []
         for folder, odd in (("even", 0), ("odd", 1)):
-            write_named(lines.where(F.col("at") % 2 == odd), area.path(folder), "lang", "value")
-        found = read_documents(spark, f"{area.path('even')},{area.path('odd')}")
+            folders += write_named(lines.where(F.col("at") % 2 == odd), area.path(folder), "lang", "value")
+        found = read_documents(spark, folders)
         counts = found.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum(F.length("text")).alias("n_chars"))
         return counts.checkpoint()

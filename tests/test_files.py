@@ -1,4 +1,5 @@
 import argparse
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,6 +32,17 @@ def test_names_of_files_come_back(spark, tmp_path):
         write_named(lines.withColumn("name", F.lit("a/b")), str(tmp_path / "bad"), "name", "text")
 
 
+def test_a_large_name_is_dealt_over_files(spark, tmp_path):
+    rows = [("big", f"line {i % 50} {'x' * 20}") for i in range(400)] + [("small", ""), ("more1", "z")]
+    lines = spark.createDataFrame(rows, "name string, text string").repartition(4)
+    folders = write_named(lines, str(tmp_path / "out"), "name", "text", piece_bytes=1000)
+    files = [f for folder in folders for f in Path(folder).iterdir() if f.name == "big"]
+    assert len(files) == len(folders) >= 5 and max(f.stat().st_size for f in files) < 6000
+    assert (tmp_path / "out" / "more1").read_text() == "z\n"
+    found = sorted((r["doc_id"], r["text"]) for r in read_documents(spark, folders).collect())
+    assert found == sorted(rows)
+
+
 def test_coefficients_are_printed(spark, tmp_path, capsys):
     (tmp_path / "in.csv").write_text("1,0\n3,1\n5,2\n7,3\n")
     run_linreg(spark, argparse.Namespace(input=str(tmp_path / "in.csv"), output=str(tmp_path / "out")))
